@@ -13,6 +13,15 @@ from .packing import MAX_BYTES, MAX_ROWS
 NEAR_CAPACITY = 0.85
 
 
+def beside(row: DataFrame, *others: DataFrame) -> DataFrame:
+    """One row made of several one-row tables, each fetched as a scalar subquery."""
+    for at, other in enumerate(others):
+        name = f"__{at}"
+        row = row.withColumn(name, other.select(F.struct(*other.columns)).scalar())
+        row = row.select(*[c for c in row.columns if c != name], f"{name}.*")
+    return row
+
+
 def batch_sizes(
     events: DataFrame, group: Sequence[str] = (), payload: str = "payload"
 ) -> DataFrame:
@@ -40,10 +49,10 @@ def ingest_counters(
     written = manifest.agg(
         total("event_count").alias("flushed"), F.count("*").alias("uploads")
     )
-    joined = taken.crossJoin(written)  # one row each
+    joined = beside(taken, written)
     if failures is None:
         return joined.withColumn("failed_flushes", F.lit(0).cast("long"))
-    return joined.crossJoin(failures.agg(F.count("*").alias("failed_flushes")))
+    return beside(joined, failures.agg(F.count("*").alias("failed_flushes")))
 
 
 def events_per_second(events: DataFrame, seconds_col: str = "timestamp") -> DataFrame:

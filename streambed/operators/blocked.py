@@ -36,15 +36,20 @@ def running_totals(
     block: str,
     order: Sequence[str],
     totals: Mapping[str, Column],
+    grand: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Add, per name in ``totals``, the sum over all earlier rows of the lane."""
-    lane, keys = list(lane), [*lane, block]
+    """Add, per name in ``totals``, the sum over all earlier rows of the lane.
+
+    ``grand`` adds, per ``new name: name in totals``, the sum over the whole lane.
+    """
+    lane, keys, grand = list(lane), [*lane, block], dict(grand or {})
     valued = rows.select("*", *[v.alias(f"__v_{n}") for n, v in totals.items()])
     sums = valued.groupBy(*keys).agg(*[F.sum(f"__v_{n}").alias(f"__s_{n}") for n in totals])
     along = _exclusive(Window.partitionBy(*lane).orderBy(block))
     offsets = sums.select(
         *keys,
         *[F.coalesce(F.sum(f"__s_{n}").over(along), F.lit(0)).alias(f"__o_{n}") for n in totals],
+        *[F.sum(f"__s_{n}").over(Window.partitionBy(*lane)).alias(new) for new, n in grand.items()],
     )
     inside = _exclusive(Window.partitionBy(*keys).orderBy(*order))
     placed = match(valued, offsets, keys)
@@ -54,6 +59,7 @@ def running_totals(
             (F.col(f"__o_{n}") + F.coalesce(F.sum(f"__v_{n}").over(inside), F.lit(0))).alias(n)
             for n in totals
         ],
+        *grand,
     )
 
 

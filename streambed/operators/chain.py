@@ -20,25 +20,76 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocked import match
 
-def _next_openers(begin: np.ndarray, end: np.ndarray, limits: np.ndarray) -> np.ndarray:
-    """For every row as opener, the position of the next opener (row count if none)."""
-    count = begin.shape[1]
-    following = np.arange(1, count + 1)
-    reach = np.full(count, count)
-    for axis, limit in enumerate(limits):
-        reach = np.minimum(reach, np.searchsorted(end[axis], begin[axis] + limit, side="right"))
-    return np.maximum(reach, following)
-
-
-def _first_opener(opener: np.ndarray, end: np.ndarray, limits: np.ndarray) -> int:
-    """Position of the first row that opens a segment, given the current opener."""
-    return int(
-        min(
-            np.searchsorted(end[axis], opener[axis] + limit, side="right")
-            for axis, limit in enumerate(limits)
-        )
-    )
+
+class _Blocks:
+    """Whole blocks of one or more lanes, side by side, on shared position axes.
+
+    Each block is moved to a stretch of its own, further from the next than any limit
+    reaches, so one search over the joined arrays never leaves a row's own block.
+    """
+
+    def __init__(self, rows: pd.DataFrame, keys, begin, end, limits: np.ndarray):
+        self.count = len(rows)
+        changed = _key_changes(rows, keys)
+        self.first = np.flatnonzero(changed)
+        self.stop = np.append(self.first[1:], self.count)
+        self.of = np.cumsum(changed) - 1
+        self.limits = limits
+        self.base, self.begin, self.end = [], [], []
+        for start_name, end_name, limit in zip(begin, end, limits, strict=True):
+            starts = rows[start_name].to_numpy(np.int64)
+            ends = rows[end_name].to_numpy(np.int64)
+            origin = starts[self.first]
+            reach = ends[self.stop - 1] - origin + int(limit) + 1
+            base = origin - np.append(0, np.cumsum(reach)[:-1])
+            self.base.append(base)
+            self.begin.append(starts - base[self.of])
+            self.end.append(ends - base[self.of])
+
+    def after(self, openers: list[np.ndarray], blocks: np.ndarray) -> np.ndarray:
+        """First row of each block that opens a segment after an opener on shared axes."""
+        found = self.stop[blocks]
+        for opener, ends, limit in zip(openers, self.end, self.limits, strict=True):
+            found = np.minimum(found, np.searchsorted(ends, opener + limit, side="right"))
+        return np.maximum(found, self.first[blocks])
+
+    def next_openers(self) -> np.ndarray:
+        """For every row as opener the next one, or the row count where the block ends."""
+        following = np.maximum(self.after(self.begin, self.of), np.arange(1, self.count + 1))
+        return np.where(following >= self.stop[self.of], self.count, following)
+
+
+def _key_changes(rows: pd.DataFrame, keys: Sequence[str]) -> np.ndarray:
+    """Whether each row's key differs from the row before."""
+    changed = np.ones(len(rows), dtype=bool)
+    same = np.ones(max(len(rows) - 1, 0), dtype=bool)
+    for key in keys:
+        values = rows[key].to_numpy()
+        same &= values[1:] == values[:-1]
+    changed[1:] = ~same
+    return changed
+
+
+def _whole_blocks(batches: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """Regroup sorted batches so that no block is cut; holds back at most one block."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if batch.empty:
+            continue
+        starts = np.flatnonzero(_key_changes(batch, keys))
+        head = batch.iloc[[0]]
+        if held and _key_changes(pd.concat([held[-1].iloc[[-1]], head]), keys)[1]:
+            yield pd.concat(held, ignore_index=True)
+            held = []
+        if len(starts) > 1:
+            yield pd.concat([*held, batch.iloc[: starts[-1]]], ignore_index=True)
+            held = [batch.iloc[starts[-1] :]]
+        else:
+            held.append(batch)
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def mark_openers(
@@ -52,122 +103,113 @@ def mark_openers(
 ) -> DataFrame:
     """The ``lane, block, order`` of every row that opens a segment.
 
-    ``order`` is unique within a lane; begin and end never fall along it.
+    ``order`` is unique within a lane; begin and end never fall along it. Lane columns
+    must not be NULL.
     """
     lane, begin, end = list(lane), list(begin), list(end)
     keys = [*lane, block]
     caps = np.array(limits, dtype=np.int64)
-    axes = len(begin)
-    key_schema = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keys
-    )
-    order_type = rows.schema[order].dataType.simpleString()
-    exits = [f"exit_{axis}" for axis in range(axes)]
-    heads = [f"head_{axis}" for axis in range(axes)]
-    openers = [f"opener_{axis}" for axis in range(axes)]
-    longs = lambda names: ", ".join(f"{n} long" for n in names)
-    ordered_keys = [f.name for f in rows.schema if f.name in keys]
-
-    narrow = rows.select(*ordered_keys, order, *dict.fromkeys([*begin, *end]))
-
-    def positions(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        return (
-            np.stack([group[c].to_numpy(np.int64) for c in begin]),
-            np.stack([group[c].to_numpy(np.int64) for c in end]),
-        )
-
-    def reduce_block(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order, kind="stable")
-        starts, ends = positions(group)
-        count = starts.shape[1]
-        jump = _next_openers(starts, ends, caps)
-        candidates = min(int(jump[0]) + 1, count)
-        # Follow all candidates at once, doubling the stride until each left the block.
-        last = np.arange(count + 1)
-        stride = np.append(jump, count)
-        inside = stride[:count] < count
-        while inside.any():
-            last[:count][inside] = last[stride[:count][inside]]
-            stride = stride[stride]
+    axes = range(len(begin))
+    types = {f.name: f.dataType.simpleString() for f in rows.schema}
+    exits = [f"exit_{axis}" for axis in axes]
+    heads = [f"head_{axis}" for axis in axes]
+    openers = [f"opener_{axis}" for axis in axes]
+
+    def ddl(names: Sequence[str], longs: Sequence[str]) -> str:
+        return ", ".join([*[f"`{n}` {types[n]}" for n in names], *[f"{n} long" for n in longs]])
+
+    narrow = rows.select(*keys, order, *[c for c in dict.fromkeys([*begin, *end]) if c != order])
+    placed = narrow.repartition(*keys)
+
+    def reduce_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in _whole_blocks(batches, keys):
+            blocks = _Blocks(group, keys, begin, end, caps)
+            count, jump = blocks.count, np.append(blocks.next_openers(), blocks.count)
+            # Only rows up to a block's second opener can be the first to open in it.
+            limit = np.minimum(jump[blocks.first], blocks.stop - 1)
+            candidate = np.arange(count) <= limit[blocks.of]
+            # Follow all rows at once, doubling the stride until each has left its block.
+            last, stride = np.arange(count + 1), jump.copy()
             inside = stride[:count] < count
-        out = {name: [group[name].iloc[0]] * candidates for name in ordered_keys}
-        out["rank"] = np.arange(candidates)
-        for axis in range(axes):
-            out[heads[axis]] = ends[axis, :candidates]
-            out[exits[axis]] = starts[axis, last[:candidates]]
-        return pd.DataFrame(out)
-
-    tables = narrow.groupBy(*keys).applyInPandas(
-        reduce_block, f"{key_schema}, rank long, {longs(heads)}, {longs(exits)}"
+            while inside.any():
+                last[:count][inside] = last[stride[:count][inside]]
+                stride = stride[stride]
+                inside = stride[:count] < count
+            out = group.loc[candidate, keys].reset_index(drop=True)
+            for axis in axes:
+                out[heads[axis]] = group[end[axis]].to_numpy(np.int64)[candidate]
+                out[exits[axis]] = group[begin[axis]].to_numpy(np.int64)[last[:count][candidate]]
+            yield out
+
+    tables = placed.sortWithinPartitions(*keys, order).mapInPandas(
+        reduce_blocks, ddl(keys, [*heads, *exits])
     )
 
     def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current_lane, current_block, opener, settled = None, None, None, False
+        at_lane, at_block, opener, settled = None, None, None, False
         for batch in batches:
             if batch.empty:
                 continue
-            changed = np.ones(len(batch), dtype=bool)
-            if len(batch) > 1:
-                same = np.ones(len(batch) - 1, dtype=bool)
-                for name in ordered_keys:
-                    values = batch[name].to_numpy()
-                    same &= values[1:] == values[:-1]
-                changed[1:] = ~same
-            bounds = np.append(np.flatnonzero(changed), len(batch))
-            head = np.stack([batch[n].to_numpy(np.int64) for n in heads])
-            leave = np.stack([batch[n].to_numpy(np.int64) for n in exits])
+            bounds = np.append(np.flatnonzero(_key_changes(batch, keys)), len(batch))
+            head = [batch[n].to_numpy(np.int64) for n in heads]
+            leave = [batch[n].to_numpy(np.int64) for n in exits]
             lanes = list(zip(*[batch[n].to_numpy()[bounds[:-1]] for n in lane], strict=True))
-            blocks = batch[block].to_numpy()[bounds[:-1]]
+            numbers = batch[block].to_numpy()[bounds[:-1]]
             found = []
             for at, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-                if current_lane is None or lanes[at] != current_lane:
-                    current_lane, current_block, opener = lanes[at], None, None
-                if current_block is None or blocks[at] != current_block:
-                    current_block, settled = blocks[at], False
-                    found.append((low, opener))
+                if at_lane is None or lanes[at] != at_lane:
+                    at_lane, at_block, opener = lanes[at], None, None
+                if at_block is None or numbers[at] != at_block:
+                    at_block, settled = numbers[at], False
+                    if opener is not None:
+                        found.append((low, opener))
                 if settled:
                     continue
-                first = 0 if opener is None else _first_opener(opener, head[:, low:high], caps)
-                if first < high - low:
-                    opener, settled = leave[:, low + first], True
-            if found:
-                at = [low for low, _ in found]
-                out = batch.iloc[at][ordered_keys].reset_index(drop=True)
-                for axis in range(axes):
-                    out[openers[axis]] = pd.array(
-                        [None if seen is None else int(seen[axis]) for _, seen in found],
-                        dtype="Int64",
+                first = low
+                if opener is not None:
+                    first += min(
+                        int(np.searchsorted(head[axis][low:high], opener[axis] + caps[axis], side="right"))
+                        for axis in axes
                     )
+                if first < high:
+                    opener, settled = [int(leave[axis][first]) for axis in axes], True
+            if found:
+                out = batch.iloc[[low for low, _ in found]][keys].reset_index(drop=True)
+                for axis in axes:
+                    out[openers[axis]] = np.array([seen[axis] for _, seen in found], dtype=np.int64)
                 yield out
 
     entries = (
         tables.repartition(*lane)
-        .sortWithinPartitions(*lane, block, "rank")
-        .select(*ordered_keys, *heads, *exits)
-        .mapInPandas(follow, f"{key_schema}, {longs(openers)}")
-    )
-
-    def mark(group: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order, kind="stable")
-        starts, ends = positions(group)
-        jump = _next_openers(starts, ends, caps)
-        if entry.empty or pd.isna(entry[openers[0]].iloc[0]):
-            at = 0
-        else:
-            seen = np.array([int(entry[n].iloc[0]) for n in openers])
-            at = _first_opener(seen, ends, caps)
-        chosen = []
-        while at < len(group):
-            chosen.append(at)
-            at = int(jump[at])
-        return group.iloc[chosen][[*ordered_keys, order]]
-
-    return (
-        narrow.groupBy(*keys)
-        .cogroup(entries.groupBy(*keys))
-        .applyInPandas(mark, f"{key_schema}, `{order}` {order_type}")
-        .select(*keys, order)
+        .sortWithinPartitions(*keys, *heads)
+        .mapInPandas(follow, ddl(keys, openers))
     )
+    entered = match(placed, entries, keys, "left").sortWithinPartitions(*keys, order)
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in _whole_blocks(batches, keys):
+            blocks = _Blocks(group, keys, begin, end, caps)
+            jump = np.append(blocks.next_openers(), blocks.count)
+            at = blocks.first.copy()
+            known = group[openers[0]].notna().to_numpy()[blocks.first]
+            if known.any():
+                which = np.flatnonzero(known)
+                rows_at = blocks.first[which]
+                seen = [
+                    group[openers[axis]].to_numpy()[rows_at].astype(np.int64) - blocks.base[axis][which]
+                    for axis in axes
+                ]
+                first = blocks.after(seen, which)
+                at[which] = np.where(first >= blocks.stop[which], blocks.count, first)
+            chosen = np.zeros(blocks.count + 1, dtype=bool)
+            at = at[at < blocks.count]
+            while len(at):
+                chosen[at] = True
+                at = jump[at]
+                at = at[at < blocks.count]
+            yield group.loc[chosen[: blocks.count], [*keys, order]]
+
+    return entered.mapInPandas(mark, ddl([*keys, order], []))
 
 
 def with_block(rows: DataFrame, order: str, size: int, name: str = "block") -> DataFrame:

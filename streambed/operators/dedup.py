@@ -19,7 +19,7 @@ def dedup_batch(
     order_col: str,
     ts_col: str,
     window_s: int | None = DEFAULT_WINDOW_S,
-    block_s: int = 86_400,
+    block_s: int = 30 * 86_400,
 ) -> DataFrame:
     """Keep a row when no row of its id was kept in the last ``window_s`` seconds.
 

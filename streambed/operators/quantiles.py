@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocked import match, running_totals
+from .blocked import running_totals
 
 PROBABILITIES = (0.5, 0.95, 0.99)
 
@@ -34,15 +34,21 @@ def exact_quantiles(
         .agg(F.sum(times).alias("__n"))
         .withColumn("__bin", F.floor(F.col(value) * bins_per_unit))
     )
-    ranked = running_totals(counts, group, "__bin", [value], {"__before": F.col("__n")})
-    sizes = counts.groupBy(*group).agg(F.sum("__n").alias("__rows"))
-    wanted = sizes.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    wanted = wanted.withColumn("__rank", F.col("prob") * (F.col("__rows") - 1))
-    low, high = F.floor("__rank"), F.ceil("__rank")
-    holds = lambda rank: (F.col("__before") <= rank) & (rank < F.col("__before") + F.col("__n"))
-    # One row per group and probability meets the group's values: a lookup, and the
-    # aggregate after it merges inside each task.
-    hits = match(ranked, wanted.select(*group, "prob", "__rank"), group).where(holds(low) | holds(high))
+    ranked = running_totals(
+        counts, group, "__bin", [value], {"__before": F.col("__n")}, grand={"__rows": "__before"}
+    )
+
+    def rank(prob):
+        return prob * (F.col("__rows") - 1)
+
+    def holds(position):
+        return (F.col("__before") <= position) & (position < F.col("__before") + F.col("__n"))
+
+    wanted = F.filter(
+        F.array(*[F.lit(float(p)) for p in probs]),
+        lambda prob: holds(F.floor(rank(prob))) | holds(F.ceil(rank(prob))),
+    )
+    hits = ranked.withColumn("prob", F.explode(wanted)).withColumn("__rank", rank(F.col("prob")))
     edges = hits.groupBy(*group, "prob", "__rank").agg(
         F.min(value).alias("__low"), F.max(value).alias("__high")
     )

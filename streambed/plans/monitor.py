@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.accounting import beside
 from ..operators.blocked import previous_values
 from ..operators.packing import MAX_BYTES, MAX_ROWS
 from ..operators.quantiles import (
@@ -160,7 +161,7 @@ def health_report(sizes: DataFrame, rate: DataFrame, instance: str) -> DataFrame
 
     ``sizes`` has one row ``events, bytes``; ``rate`` one row ``events_per_sec``.
     """
-    return sizes.crossJoin(rate).select(
+    return beside(sizes, rate).select(
         F.lit("ok").alias("status"),
         F.lit(instance).alias("instance_id"),
         F.col("events").alias("buffer_events"),
@@ -183,7 +184,7 @@ def metrics_report(
 
     ``last_flush`` has ``last_flush_ago_s``.
     """
-    everything = counters.crossJoin(sizes).crossJoin(rate).crossJoin(live).crossJoin(last_flush)
+    everything = beside(counters, sizes, rate, live, last_flush)
     return everything.select(
         F.lit(instance).alias("instance_id"),
         F.col("consumed").alias("total_consumed"),

@@ -136,10 +136,7 @@ def compact(spark: SparkSession, root: str, shards: Sequence[int]) -> int | None
     route(merged).write.mode("overwrite").partitionBy("shard").parquet(
         f"{root}/baseline/version={new}"
     )
-    fresh = spark.range(1).select(
-        F.explode(F.array(*[F.lit(s) for s in shards])).cast("int").alias("shard"),
-        F.lit(new).cast("long").alias("baseline"),
-    )
+    fresh = spark.createDataFrame([(s, new) for s in shards], "shard int, baseline long")
     previous = state.select("shard", F.col("merged_through").alias("__before"))
     fresh = fresh.join(previous, "shard", "left").select(
         "shard", "baseline",

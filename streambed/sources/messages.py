@@ -48,13 +48,9 @@ def read_messages(
 
 
 def with_arrival(messages: DataFrame, name: str = "arrival") -> DataFrame:
-    """Number the rows of a micro-batch in arrival order where the source gives none.
+    """Number messages in arrival order; NULL where the source has no offsets.
 
     Offsets order the rows of one partition; rows of other partitions arrived at the same
     time, so any order among them will do. Partitions interleave without a shuffle.
     """
-    width = F.lit(1 << 13)
-    numbered = F.col("offset") * width + F.col("partition")
-    return messages.withColumn(
-        name, F.coalesce(numbered, F.monotonically_increasing_id())
-    )
+    return messages.withColumn(name, F.col("offset") * (1 << 13) + F.col("partition"))

@@ -29,6 +29,11 @@ def _key_of(path: Column, root: str) -> Column:
     return F.substring(path, F.instr(path, F.lit(base)) + F.lit(len(base)), F.length(path))
 
 
+def _file_path() -> Column:
+    """Path of the file a row was read from; Spark gives it URL-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def _folder(root: str, prefix: str) -> str:
     return f"{root.rstrip('/')}/{prefix}"
 
@@ -97,8 +102,7 @@ def read_segment_lines(
             spark.read.option("recursiveFileLookup", "true")
             .text(_folder(root, prefix), lineSep="\n")
         )
-        path = F.col("_metadata.file_path")
-        key = _key_of(path, root)
+        key = _key_of(_file_path(), root)
         newer = text.where(key > F.lit(cursors.get(bucket, "")))
         newer = newer.where(parse_segment_key(key).isNotNull())
         return placed_lines(newer, F.lit(bucket), key)
@@ -131,7 +135,7 @@ def stream_segment_lines(
         .option("maxFilesPerTrigger", str(max_files))
         .text(_folder(root, prefix), lineSep="\n")
     )
-    key = _key_of(F.col("_metadata.file_path"), root)
+    key = _key_of(_file_path(), root)
     return text.select(
         F.lit(bucket).alias("bucket"),
         key.alias("key"),

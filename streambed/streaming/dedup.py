@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -35,7 +38,7 @@ def dedup_stream(
     ids = list(id_cols)
     if mode == "arrival_clock":
         return (
-            without_stale_copies(events, ids, ts_col)
+            without_stale_copies(events, ids, ts_col, order_col)
             .withColumn("__seen", F.current_timestamp())
             .withWatermark("__seen", f"{window_s} seconds")
             .dropDuplicatesWithinWatermark(ids)
@@ -50,28 +53,53 @@ def dedup_stream(
         )
     if mode != "keep_late":
         raise ValueError(f"mode must be one of {MODES}")
-    return _keep_late(without_stale_copies(events, ids, ts_col), ids, ts_col, window_s, order_col)
+    thinned = without_stale_copies(events, ids, ts_col, order_col)
+    return _keep_late(thinned, ids, ts_col, window_s, order_col)
 
 
-def without_stale_copies(events: DataFrame, ids: Sequence[str], ts_col: str) -> DataFrame:
+def without_stale_copies(
+    events: DataFrame, ids: Sequence[str], ts_col: str, order_col: str = "arrival"
+) -> DataFrame:
     """Drop, before any shuffle, rows no newer than an earlier row of their id.
 
     Such a row is never kept, whatever the state holds: the earlier row was kept, or was
     silenced by one that silences this row too. So a flood of copies of one id leaves a
-    source task as a few rows. Looks at one Arrow batch at a time.
+    source task as a few rows. Looks at one Arrow batch at a time. Rows without an
+    arrival number get one from their place in the task.
     """
     ids = list(ids)
 
     def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            times = batch.groupby(ids, sort=False, dropna=False)[ts_col]
-            best = times.cummax()
-            earlier = best.groupby([batch[c] for c in ids], sort=False, dropna=False).shift()
+            if batch[order_col].isna().any():
+                batch[order_col] = np.arange(number, number + len(batch))
+                number += len(batch)
+            by = [batch[c] for c in ids]
+            best = batch.groupby(by, sort=False, dropna=False)[ts_col].cummax()
+            earlier = best.groupby(by, sort=False, dropna=False).shift()
             yield batch[earlier.isna() | (batch[ts_col] > earlier)]
 
     return events.mapInPandas(thin, events.schema)
 
 
+@contextmanager
+def drained(spark: SparkSession, once: bool = True) -> Iterator[None]:
+    """Let a query started inside stop when its input ends.
+
+    A state timeout by the clock asks for another batch without data for ever; a run that
+    drains its input and stops does without.
+    """
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(key)
+    if once:
+        spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _keep_late(
     events: DataFrame, ids: list[str], ts_col: str, window_s: int, order_col: str
 ) -> DataFrame:

@@ -13,7 +13,7 @@ from ..plans.ingest import IngestConf, flush_batch
 from ..session import shared_dir
 from ..sources.messages import read_messages, with_arrival
 from ..sources.segments import stream_segment_lines
-from .dedup import dedup_stream
+from .dedup import dedup_stream, drained
 
 
 def _trigger(interval: str, once: bool) -> dict:
@@ -48,13 +48,14 @@ def run_ingest(spark: SparkSession, conf: IngestConf, once: bool = False) -> Str
     def flush(batch: DataFrame, batch_id: int) -> None:
         flush_batch(batch, conf, batch_id)
 
-    return (
+    writer = (
         kept.writeStream.foreachBatch(flush)
         .option("checkpointLocation", conf.checkpoint or shared_dir(spark, "ingest"))
         .trigger(**_trigger(conf.trigger, once))
         .queryName(f"ingest-{conf.instance}")
-        .start()
     )
+    with drained(spark, once):
+        return writer.start()
 
 
 def run_index(spark: SparkSession, conf: IndexConf, once: bool = False) -> StreamingQuery:
