@@ -31,6 +31,15 @@ def _sealed(text: Column, fields: str) -> Column:
     return F.from_json(wrapped, f"array<struct<{fields}, `#` bigint>>", _JSON_OPTIONS)
 
 
+def _parsed_once(rows: DataFrame, sealed: Column) -> DataFrame:
+    """Add the parsed text as ``__doc``.
+
+    A one-element explode, because a filter on what is read from the document would
+    otherwise be pushed below the parse and repeat it.
+    """
+    return rows.select("*", F.explode(F.array(sealed)).alias("__doc"))
+
+
 def _intact(text: Column, parsed: str) -> Column:
     seal = F.expr(f"get({parsed}, 1).`#`")
     return F.coalesce((F.size(parsed) == 2) & (seal == F.xxhash64(text)), F.lit(False))
@@ -73,7 +82,7 @@ def decode_events(messages: DataFrame, strict: bool = True) -> DataFrame:
     value = F.coalesce("value", F.lit(""))
     data = "variant" if strict else "struct<hashUID variant>"
     fields = ", ".join(f"{name} variant" for name in ENVELOPE_FIELDS) + f", _data {data}"
-    parsed = messages.withColumn("__doc", _sealed(value, fields))
+    parsed = _parsed_once(messages, _sealed(value, fields))
     env = "get(__doc, 0)"
     if strict:
         uid = f"try_variant_get({env}._data, '$.hashUID', 'variant')"
@@ -139,7 +148,7 @@ def parse_index_fields(
         inner = F.when(_is_text(f"{doc}._data.hashUID"), _text(f"{doc}._data.hashUID"))
         reference = F.when(reference != "", reference).otherwise(F.coalesce(inner, F.lit("")))
     kept = [c for c in lines.columns if c != line_col]
-    extracted = lines.withColumn("__doc", _sealed(line, fields)).select(
+    extracted = _parsed_once(lines, _sealed(line, fields)).select(
         *kept,
         well_typed.alias("__ok"),
         _text(f"{doc}._event_id").alias("event_id"),

@@ -26,6 +26,22 @@ def dedup_batch(
     Rows are taken in order of ``order_col`` (unique per id); a kept row silences its id
     for every time up to ``window_s`` after its own, so older rows are silenced as well.
     ``window_s=None`` switches removal off.
+    """
+    if window_s is None:
+        return events
+    kept = kept_keys(events, id_cols, order_col, ts_col, window_s, block_s)
+    return match(events, kept, [*id_cols, order_col], "left_semi")
+
+
+def kept_keys(
+    events: DataFrame,
+    id_cols: Sequence[str],
+    order_col: str,
+    ts_col: str,
+    window_s: int = DEFAULT_WINDOW_S,
+    block_s: int = 30 * 86_400,
+) -> DataFrame:
+    """Id and order of the rows :func:`dedup_batch` keeps.
 
     A row can be kept only if its time passes that of every earlier arrival. So first of
     all each id is cut, before any shuffle, to one row per distinct second, which bounds
@@ -33,8 +49,6 @@ def dedup_batch(
     never span more than the window, the common case, are settled by plain aggregates;
     only the others go through the ordered segmentation.
     """
-    if window_s is None:
-        return events
     ids = list(id_cols)
     keys = [*ids, "__block"]
     narrow = events.select(
@@ -81,7 +95,7 @@ def dedup_batch(
     chained = mark_openers(
         candidates, ids, "__block", "__order", ["__ts"], ["__ts"], [window_s]
     ).select(*ids, F.col("__order").alias(order_col))
-    return match(events, quiet.unionByName(chained), [*ids, order_col], "left_semi")
+    return quiet.unionByName(chained)
 
 
 def latest_entries(entries: DataFrame) -> DataFrame:

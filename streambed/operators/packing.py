@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .blocked import match, running_totals
 from .chain import mark_openers, with_block
 
@@ -29,14 +30,13 @@ def pack_segments(
 
     ``order_col`` is an integer that is unique within a part, such as a source offset. A
     row larger than ``max_bytes`` forms a segment of its own. Only part, order and size
-    take part in the cutting; the events themselves are shuffled once, to receive the number.
+    take part in the cutting, from a written copy; the events themselves are shuffled once,
+    to receive the number.
     """
     parts = list(part_cols)
     size = F.octet_length("payload") if size_col is None else F.col(size_col)
-    sizes = with_block(
-        events.select(*parts, order_col, size.cast("long").alias("__size")),
-        order_col, block_rows, "__block",
-    )
+    narrow = events.select(*parts, order_col, size.cast("long").alias("__size"))
+    sizes = with_block(cut(narrow, "sizes"), order_col, block_rows, "__block")
     placed = running_totals(
         sizes, parts, "__block", [order_col],
         {"__row": F.lit(1).cast("long"), "__byte": F.col("__size")},

@@ -8,9 +8,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.blocked import match
 from ..operators.decode import decode_events, split_rejects
-from ..operators.dedup import DEFAULT_WINDOW_S, dedup_batch
+from ..operators.dedup import DEFAULT_WINDOW_S, kept_keys
 from ..operators.packing import MAX_BYTES, MAX_ROWS
+from ..session import cut
 from ..sinks.segments import label_by_task, write_rejects, write_segments
 
 
@@ -55,10 +57,18 @@ def flush_batch(decoded: DataFrame, conf: IngestConf, batch_id: int) -> dict[str
 
 
 def ingest_batch(messages: DataFrame, conf: IngestConf, batch_id: int = 0) -> dict[str, int]:
-    """Run a bounded set of messages (with ``arrival``) through the whole ingest."""
+    """Run a bounded set of messages (with ``arrival``) through the whole ingest.
+
+    Messages are decoded twice: once for ids and times, which decide what is kept, once
+    for what is written, valid and rejected together.
+    """
     decoded = decode_events(messages, conf.strict)
-    good = F.col("reason").isNull()
-    kept = dedup_batch(
-        decoded.where(good), ["event_id"], "arrival", "timestamp", conf.dedup_window_s
-    )
-    return flush_batch(kept.unionByName(decoded.where(~good)), conf, batch_id)
+    kept = decoded
+    if conf.dedup_window_s is not None:
+        valid = decoded.where(F.col("reason").isNull())
+        keys = cut(
+            kept_keys(valid, ["event_id"], "arrival", "timestamp", conf.dedup_window_s), "kept"
+        ).withColumn("__kept", F.lit(True))
+        marked = match(decoded, keys, ["event_id", "arrival"], "left")
+        kept = marked.where(F.col("reason").isNotNull() | F.col("__kept").isNotNull()).drop("__kept")
+    return flush_batch(kept, conf, batch_id)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 ISO = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
 ISO_SQL = "strftime(ts, '%Y-%m-%dT%H:%M:%SZ')"
 
@@ -52,7 +54,7 @@ def message(iso: str) -> str:
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
     stamp = F.col("ts").cast("timestamp")
     return events.select(
         "event_id", "user_id", "event_type", "props", stamp.alias("ts"),

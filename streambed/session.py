@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every result depends on: times are read and shown in UTC.
 REQUIRED = {"spark.sql.session.timeZone": "UTC"}
@@ -52,3 +52,20 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="streambed-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/streambed/{purpose}-{uuid.uuid4().hex}"
+
+
+def cut(rows: DataFrame, purpose: str) -> DataFrame:
+    """Write a narrow table to the shared folder and go on from there.
+
+    For tables that several later steps read and whose making is costly: it is made once,
+    and an executor that is lost takes none of it along.
+    """
+    path = shared_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Use all cores for costly work on an input of fewer splits than cores."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
