@@ -3,7 +3,7 @@
 A plain window over a lane puts the whole lane into one task. Here the caller also names
 a block: an integer that never falls along the lane's order and that bounds how many rows
 share it (an offset or a time divided by a constant). Rows meet only inside their block;
-across blocks a lane is one row per block.
+across blocks a lane is one row per block. Lane and block columns must not be NULL.
 """
 
 from __future__ import annotations
@@ -19,15 +19,15 @@ def _exclusive(window):
 
 
 def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on keys that may be NULL, keeping the left side's key columns."""
-    condition = None
-    renamed = right
-    for key in keys:
-        renamed = renamed.withColumnRenamed(key, f"__{key}")
-        same = left[key].eqNullSafe(F.col(f"__{key}"))
-        condition = same if condition is None else condition & same
-    joined = left.join(renamed, condition, how)
-    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__{k}" for k in keys])
+    """Join on plain equality, so that windows and aggregates on the keys need no new shuffle."""
+    return left.join(right, list(keys), how)
+
+
+def without_nulls(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Fail on a NULL in the named columns, which equality would lose without a word."""
+    return rows.withColumns(
+        {n: F.coalesce(F.col(n), F.raise_error(F.lit(f"{n} must not be NULL"))) for n in names}
+    )
 
 
 def running_totals(
@@ -43,7 +43,7 @@ def running_totals(
     ``grand`` adds, per ``new name: name in totals``, the sum over the whole lane.
     """
     lane, keys, grand = list(lane), [*lane, block], dict(grand or {})
-    valued = rows.select("*", *[v.alias(f"__v_{n}") for n, v in totals.items()])
+    valued = without_nulls(rows, keys).select("*", *[v.alias(f"__v_{n}") for n, v in totals.items()])
     sums = valued.groupBy(*keys).agg(*[F.sum(f"__v_{n}").alias(f"__s_{n}") for n in totals])
     along = _exclusive(Window.partitionBy(*lane).orderBy(block))
     offsets = sums.select(
@@ -54,7 +54,7 @@ def running_totals(
     inside = _exclusive(Window.partitionBy(*keys).orderBy(*order))
     placed = match(valued, offsets, keys)
     return placed.select(
-        *[rows[c] for c in rows.columns],
+        *rows.columns,
         *[
             (F.col(f"__o_{n}") + F.coalesce(F.sum(f"__v_{n}").over(inside), F.lit(0))).alias(n)
             for n in totals
@@ -68,6 +68,7 @@ def previous_values(
 ) -> DataFrame:
     """Add, per ``new name: column``, that column's value in the lane's previous row."""
     lane, keys = list(lane), [*lane, block]
+    rows = without_nulls(rows, keys)
     last = rows.groupBy(*keys).agg(
         *[F.max_by(column, order).alias(f"__l_{name}") for name, column in values.items()]
     )
@@ -78,7 +79,7 @@ def previous_values(
     inside = Window.partitionBy(*keys).orderBy(order)
     placed = match(rows, carried, keys).withColumn("__first", F.row_number().over(inside) == 1)
     return placed.select(
-        *[rows[c] for c in rows.columns],
+        *rows.columns,
         *[
             F.when(F.col("__first"), F.col(f"__c_{name}"))
             .otherwise(F.lag(column).over(inside))

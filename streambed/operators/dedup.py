@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocked import match
+from .blocked import match, without_nulls
 from .chain import mark_openers
 
 DEFAULT_WINDOW_S = 300
@@ -51,7 +51,7 @@ def kept_keys(
     """
     ids = list(id_cols)
     keys = [*ids, "__block"]
-    narrow = events.select(
+    narrow = without_nulls(events, ids).select(
         *ids, F.col(ts_col).cast("long").alias("__ts"), F.col(order_col).alias("__order")
     )
     seconds = (

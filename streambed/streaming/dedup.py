@@ -75,6 +75,7 @@ def without_stale_copies(
             if batch[order_col].isna().any():
                 batch[order_col] = np.arange(number, number + len(batch))
                 number += len(batch)
+            batch = batch.sort_values(order_col, kind="stable")
             by = [batch[c] for c in ids]
             best = batch.groupby(by, sort=False, dropna=False)[ts_col].cummax()
             earlier = best.groupby(by, sort=False, dropna=False).shift()
