@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import locator, parse_segment_key, row_key
+from ..session import cut
 from .blocked import match, running_totals
 from .decode import parse_index_fields
 from .routing import assign_shards
@@ -58,8 +59,9 @@ def entries_of(parsed: DataFrame, num_shards: int) -> DataFrame:
 
 
 def index_lines(lines: DataFrame, num_shards: int, strict_reference: bool = False) -> DataFrame:
-    """Index entries of segment lines in one go."""
-    return entries_of(with_byte_ranges(parse_lines(lines, strict_reference)), num_shards)
+    """Index entries of segment lines in one go; the lines are read and parsed once."""
+    parsed = cut(parse_lines(lines, strict_reference), "parsed")
+    return entries_of(with_byte_ranges(parsed), num_shards)
 
 
 def segment_results(parsed: DataFrame, max_line_bytes: int | None = MAX_LINE_BYTES) -> DataFrame:
