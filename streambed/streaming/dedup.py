@@ -116,8 +116,10 @@ def _keep_late(
             else:
                 state.setTimeoutDuration((last + window_s - now_s + 1) * 1000)
             return
-        rows = pd.concat(list(batches), ignore_index=True)
-        rows = rows.sort_values(order_col, kind="stable")
+        chunks = list(batches)
+        rows = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
+        if len(rows) > 1:
+            rows = rows.sort_values(order_col, kind="stable")
         kept = []
         for at, seconds in enumerate(rows[ts_col].tolist()):
             if last is None or seconds - last > window_s:
@@ -126,7 +128,7 @@ def _keep_late(
         state.update((int(last),))
         state.setTimeoutDuration(window_s * 1000)
         if kept:
-            yield rows.iloc[kept]
+            yield rows if len(kept) == len(rows) else rows.iloc[kept]
 
     return events.groupBy(*ids).applyInPandasWithState(
         judge, events.schema, "last long", "append", GroupStateTimeout.ProcessingTimeTimeout
