@@ -546,14 +546,15 @@ def messages_from_files(spark, sf_dir):
 # Streaming
 
 
-@query
-def stream_ingest(spark, sf_dir):
+def _stream_ingest(spark, sf_dir, mode) -> DataFrame:
     """The ingest job over files that hold every tenth message twice."""
     root, source = shared_dir(spark, "ingest"), shared_dir(spark, "messages")
     sent = inputs.messages(spark, sf_dir)
     again = sent.where(F.col("offset") % 10 == 0)
     sent.unionByName(again).select("value").write.text(source)
-    conf = IngestConf(root=root, instance="w0", max_rows=2000, source={"format": "text", "path": source})
+    conf = IngestConf(
+        root=root, instance="w0", max_rows=2000, source={"format": "text", "path": source}, dedup_mode=mode
+    )
     run_ingest(spark, conf, once=True).awaitTermination()
     stored = read_segment_lines(spark, {"b": root}).select(F.lit("").alias("reason"), F.col("line").alias("value"))
     rejected = spark.read.parquet(f"{root}/rejects").select("reason", "value")
@@ -562,6 +563,16 @@ def stream_ingest(spark, sf_dir):
     )
 
 
+@query
+def stream_ingest(spark, sf_dir):
+    return _stream_ingest(spark, sf_dir, "keep_late")
+
+
+@query
+def stream_ingest_arrival_clock(spark, sf_dir):
+    return _stream_ingest(spark, sf_dir, "arrival_clock")
+
+
 @query
 def stream_index(spark, sf_dir):
     conf = IndexConf(root=shared_dir(spark, "index"), num_shards=SHARDS)
