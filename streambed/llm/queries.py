@@ -8,14 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from streambed.llm.decontaminate import decontamination_digest
 from streambed.llm.shared import table
+from streambed.llm.sharding import sharding_digest
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_kd_sharding": op10_kd_sharding,
 }
 
 ORACLES: dict[str, str] = {}
