@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from streambed.llm.decontaminate import decontamination_digest
+from streambed.llm.packing import packing_digest
 from streambed.llm.shared import table
 from streambed.llm.sharding import sharding_digest
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """The installed vocabulary file, the same on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str, tokenizer: str = "") -> DataFrame:
+    return packing_digest(table(spark, sf_dir, "documents"), tokenizer or tokenizer_path())
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -20,6 +32,7 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_packing": op5_packing,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_kd_sharding": op10_kd_sharding,
 }
