@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from streambed.llm.chat import chat_digest
 from streambed.llm.decontaminate import decontamination_digest
 from streambed.llm.packing import packing_digest
 from streambed.llm.shared import table
@@ -23,6 +24,10 @@ def op5_packing(spark: SparkSession, sf_dir: str, tokenizer: str = "") -> DataFr
     return packing_digest(table(spark, sf_dir, "documents"), tokenizer or tokenizer_path())
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_digest(table(spark, sf_dir, "conversations"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -33,6 +38,7 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
+    "op7_chat_formatting": op7_chat_formatting,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_kd_sharding": op10_kd_sharding,
 }
