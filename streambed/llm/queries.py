@@ -11,6 +11,7 @@ from streambed.llm.decontaminate import decontamination_digest
 from streambed.llm.packing import packing_digest
 from streambed.llm.shared import table
 from streambed.llm.sharding import sharding_digest
+from streambed.llm.warc import warc_digest
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -24,6 +25,10 @@ def op5_packing(spark: SparkSession, sf_dir: str, tokenizer: str = "") -> DataFr
     return packing_digest(table(spark, sf_dir, "documents"), tokenizer or tokenizer_path())
 
 
+def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_digest(table(spark, sf_dir, "pages"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(table(spark, sf_dir, "conversations"))
 
@@ -38,6 +43,7 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
+    "op6_warc_index": op6_warc_index,
     "op7_chat_formatting": op7_chat_formatting,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_kd_sharding": op10_kd_sharding,
