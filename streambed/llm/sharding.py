@@ -30,6 +30,8 @@ from streambed.llm.shared import materialize
 LEVEL_BINS = 1 << 14
 #: Rows that one task numbers within a shard.
 SLOT_ROWS = 50_000
+#: Tree nodes up to which their table, one row each, is sent to every task.
+BROADCAST_NODES = 100_000
 #: Levels after which the narrow table of units is written anew, so that plans stay short.
 WRITE_EVERY = 4
 
@@ -42,8 +44,9 @@ def _pick(which: Column, dims: list[str]) -> Column:
 
 
 def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A table with one row per tree node; its size is bounded by the number of leaves."""
-    return spark.createDataFrame(rows, schema)
+    """A table with one row per tree node, broadcast up to ``BROADCAST_NODES`` rows of 40 bytes."""
+    made = spark.createDataFrame(rows, schema)
+    return F.broadcast(made) if len(rows) <= BROADCAST_NODES else made
 
 
 def _cuts(units: DataFrame, dims: list[str], nodes: dict[int, dict]) -> list[tuple]:
@@ -93,7 +96,7 @@ def kd_shards(units: DataFrame, dims: list[str], target_bytes: int) -> DataFrame
     total = units.agg(F.sum("unit_weight").alias("w"), *[F.min(d).alias(f"lo_{k}") for k, d in enumerate(dims)], *[F.max(d).alias(f"hi_{k}") for k, d in enumerate(dims)]).first()
     leaves = {0: max(1, math.ceil((total.w or 0) / max(1, target_bytes)))}
     whole = [max(total[f"hi_{k}"] - total[f"lo_{k}"], 1e-300) if total.w else 1.0 for k in range(len(dims))]
-    units, level = units.withColumn("node", F.lit(0)), 0
+    units, level = materialize(units.withColumn("node", F.lit(0)), "kd-units"), 0  # read back, so that joins on node stay joins on a key
     while any(c > 1 for c in leaves.values()):
         extents = units.groupBy("node").agg(F.sum("unit_weight").alias("w"), *[F.min(d).alias(f"lo_{k}") for k, d in enumerate(dims)], *[F.max(d).alias(f"hi_{k}") for k, d in enumerate(dims)]).collect()
         nodes = {}
@@ -129,11 +132,11 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
         "doc_id", (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.xxhash64(text).alias("text_key"), F.coalesce(F.crc32(F.encode("source", "UTF-8")), F.lit(0)).cast("double").alias("source_key"))
     units = rows.groupBy("text_key").agg(
-        F.sum("size").alias("unit_weight"), F.count("*").alias("unit_rows"),
+        F.sum("size").alias("unit_weight"),
         F.coalesce(F.min("doc_id"), F.lit(0)).cast("double").alias("first_id"),
         F.min("size").cast("double").alias("bytes"), F.min("source_key").alias("source"))
-    units = materialize(units.withColumn("unit_tie", F.xxhash64("text_key").cast("double")), "units")
-    total = units.agg(F.sum("unit_weight").alias("w"), F.sum("unit_rows").alias("n")).first()
+    units = units.withColumn("unit_tie", F.xxhash64("text_key").cast("double"))
+    total = rows.agg(F.sum("size").alias("w"), F.count("*").alias("n")).first()
     target = math.ceil((total.w or 0) / shards)
     placed = kd_shards(units, ["first_id", "source", "bytes"], target).select("text_key", "shard")
     return number_slots(rows.join(placed, "text_key").drop("text_key", "source_key"), total.n or 0)
