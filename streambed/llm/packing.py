@@ -18,13 +18,14 @@ columns are not read.
 
 from __future__ import annotations
 
-import re
+import base64
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,74 +36,27 @@ SENTENCE_PRICE = 2
 TRUNCATION_PRICE = 24
 GRID = 32
 BLOCK_TOKENS = 1 << 20
-#: Words whose ids a task remembers; the memory starts anew when it is full.
-CACHE_WORDS = 300_000
-#: Longer runs without a space are not remembered.
-CACHE_CHARS = 48
-_BESIDE_SPACE = re.compile(r"^ |\s | (?:\s|$)")
+#: The public splitting rule of the vocabulary, a fixed value.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-class WordTokenizer:
-    """Ids of whole texts by a byte-level BPE, each distinct word tokenized once per task.
+@lru_cache(maxsize=2)
+def load_tokenizer(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
+    """The byte-level BPE of a ranks file, and for each id whether a sentence may end behind it.
 
-    A lone space between two other characters starts a new piece in the tokenizer's own splitting,
-    so the ids of a text are those of the parts between such spaces, one after another.
+    Strings of special tokens in a text are ordinary text.
     """
-
-    def __init__(self, path: str):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cache: dict[str, bytes] = {}
-
-    def sentence_ends(self) -> np.ndarray:
-        """For each id, whether a sentence may end behind it."""
-        ends = np.zeros(self.model.get_vocab_size() + 1, bool)
-        for token, number in self.model.get_vocab().items():
-            ends[number] = token[-1] in ".!?" or token[-1] == "Ċ"  # the vocabulary's sign for a line feed
-        return ends
-
-    @staticmethod
-    def _parts(text: str) -> list[str]:
-        if not text:
-            return []
-        found = text.split(" ")
-        if not _BESIDE_SPACE.search(text):
-            return [found[0], *[" " + x for x in found[1:]]]
-        parts = [found[0]]
-        for x in found[1:]:
-            before = parts[-1]
-            if before and not before[-1].isspace() and x and not x[0].isspace():
-                parts.append(" " + x)
-            else:
-                parts[-1] = before + " " + x
-        return parts
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [self._parts(t or "") for t in texts]
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        known = self.cache
-        missing = list({p for parts in split for p in parts} - known.keys())
-        long: dict[str, bytes] = {}
-        for at in range(0, len(missing), 4096):
-            some = missing[at:at + 4096]
-            for part, got in zip(some, self.model.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                (known if len(part) <= CACHE_CHARS else long)[part] = np.array(got.ids, "<u4").tobytes()
-        if not long:
-            return [b"".join(map(known.__getitem__, parts)) for parts in split]
-        return [b"".join([known[p] if p in known else long[p] for p in parts]) for parts in split]
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    ends = np.zeros(max(ranks.values()) + 1, bool)
+    for token, number in ranks.items():
+        ends[number] = token[-1:] in (b".", b"!", b"?", b"\n")
+    return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), ends
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str) -> tuple[WordTokenizer, np.ndarray]:
-    held = WordTokenizer(path)
-    return held, held.sentence_ends()
+def encode(model: tiktoken.Encoding, text: str | None) -> bytes:
+    """Ids of a text as little-endian unsigned 32-bit numbers."""
+    return np.array(model.encode_ordinary(text or ""), "<u4").tobytes()
 
 
 def candidates(doc_ends: np.ndarray, sentence: np.ndarray, grid: int = GRID) -> tuple[np.ndarray, np.ndarray]:
@@ -158,10 +112,10 @@ def pack_block(doc_ends: np.ndarray, ids: np.ndarray, sentence_ends: np.ndarray)
 def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Pieces of packed sequences: doc_id, start, ids (binary, little-endian), doc_tokens, sequence_id, offset.
 
-    ``tokenizer`` is the path of a tokenizer file on every executor.
+    ``tokenizer`` is the path of a ranks file on every executor.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, sentence_ends = _tokenizer(tokenizer)
+        model, sentence_ends = load_tokenizer(tokenizer)
         end = np.array([END_ID], "<u4").tobytes()
         number = TaskContext.get().partitionId() << 32
         held: list[tuple] = []
@@ -184,13 +138,12 @@ def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
             return out
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                for doc, ids in zip(some.column("doc_id").to_pylist(), model.encode(some.column("text").to_pylist()), strict=True):
-                    held.append((doc, ids + end))
-                    size += len(ids) // 4 + 1
-                    if size >= BLOCK_TOKENS:
-                        yield flush()
+            for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                ids = encode(model, text.as_py()) + end
+                held.append((doc.as_py(), ids))
+                size += len(ids) // 4
+                if size >= BLOCK_TOKENS:
+                    yield flush()
         if held:
             yield flush()
 

@@ -14,8 +14,8 @@ from streambed.llm.sharding import sharding_digest
 from streambed.llm.warc import warc_digest
 
 
-def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
-    """The installed vocabulary file, the same on every executor."""
+def tokenizer_path(name: str = "byte_bpe_50k.tiktoken") -> str:
+    """The installed vocabulary file, the same on every executor; its ids are those of byte_bpe_50k.json."""
     import public_tokenizers
 
     return public_tokenizers.path(name)

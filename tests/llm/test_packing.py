@@ -11,22 +11,24 @@ from tokenizers import Tokenizer
 
 from streambed.llm import packing
 
-PATH = public_tokenizers.path("byte_bpe_50k.json")
+PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 @pytest.fixture(scope="module")
 def plain():
-    model = Tokenizer.from_file(PATH)
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     model.encode_special_tokens = True
     return lambda text: model.encode(text or "", add_special_tokens=False).ids
 
 
-def test_ids_equal_whole_text_tokenization(plain):
+def test_ids_equal_those_of_the_tokenizers_library(spark, plain):
     rng = random.Random(3)
     bits = ["the", " ", "  ", "\n", " \n", "don't", "42", "é", "\t", " ", "　", "x" * 60, "!?", "<|endoftext|>", "\x1c", "👍🏽", "."]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
-    model = packing.WordTokenizer(PATH)
-    assert [np.frombuffer(x, "<u4").tolist() for x in model.encode(texts)] == [plain(t) for t in texts]
+    texts += ["".join(chr(rng.choice([rng.randrange(1, 0xD800), rng.randrange(0xE000, 0x110000), rng.randrange(1, 300)])) for _ in range(30)) for _ in range(3000)]
+    texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    model, _ = packing.load_tokenizer(PATH)
+    assert [np.frombuffer(packing.encode(model, t), "<u4").tolist() for t in texts] == [plain(t) for t in texts]
 
 
 def test_pieces_cover_every_id_once(spark, plain, monkeypatch):
