@@ -61,7 +61,7 @@ class Windows:
         if n <= 0:
             return np.zeros(0, np.uint64)
         h = (self._sum[length:] - self._sum[:n]) * self._down[:n]
-        h += np.uint64(length) * np.uint64(0xA24BAED4963EE407)
+        h += np.uint64(length * 0xA24BAED4963EE407 & (1 << 64) - 1)
         return _mix(h)
 
 

@@ -11,6 +11,7 @@ from streambed.llm.decontaminate import decontamination_digest
 from streambed.llm.packing import packing_digest
 from streambed.llm.shared import table
 from streambed.llm.sharding import sharding_digest
+from streambed.llm.toxicity import toxicity_digest
 from streambed.llm.warc import warc_digest
 
 
@@ -21,6 +22,10 @@ def tokenizer_path(name: str = "byte_bpe_50k.tiktoken") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str, tokenizer: str = "") -> DataFrame:
     return packing_digest(table(spark, sf_dir, "documents"), tokenizer or tokenizer_path())
 
@@ -42,6 +47,7 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op5_packing": op5_packing,
     "op6_warc_index": op6_warc_index,
     "op7_chat_formatting": op7_chat_formatting,
