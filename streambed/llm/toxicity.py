@@ -1,15 +1,15 @@
 """Toxicity by compression distance: two zstandard dictionaries and the windows they disagree about.
 
 One dictionary is trained on ordinary text. The other is trained on what sets toxic text apart: the
-windows of toxic documents that hold a byte sequence which toxic documents use far oftener; as toxic
-text is mostly ordinary language, it goes in front of the same ordinary content. A window that
+windows of toxic documents that hold a byte sequence which toxic documents use far oftener, less
+those that also shorten ordinary words; as toxic text is mostly ordinary language, it follows the same ordinary content. A window that
 the toxic dictionary shortens by ``MARGIN`` bytes more than the ordinary one counts as a hit. Hits against the number
 of windows give the log-likelihood of toxic against ordinary writing, and a logistic curve, laid
 so that the best cut of held-back training rows is at 0.7, makes it a score.
 
 Training sees a bounded sample of labelled rows (``SAMPLE_ROWS`` of each class, by hash order, texts of at most
-``SAMPLE_BYTES``); scoring reads every whole text where it is scanned, without a shuffle. A window is a white-space
-word; of equal words in a run of texts one is compressed.
+``SAMPLE_BYTES``); scoring reads every whole text where it is scanned, without a shuffle. A window is a run of
+letters and digits; of equal words in a run of texts one is compressed.
 
 Defined cases: null and empty texts, with no windows, score as the least suspicious text; words longer than
 ``WINDOW_BYTES`` are several windows; repeated labels of a document count as toxic if one is; repeated rows are scored each; without toxic
@@ -36,7 +36,7 @@ from streambed.llm.shared import pieces, text_bytes
 SAMPLE_ROWS = 2500
 SAMPLE_BYTES = 64 << 10
 WINDOW_BYTES = 48
-ORDINARY_BYTES = 12 << 10
+ORDINARY_BYTES = 24 << 10
 TOXIC_BYTES = 4 << 10
 #: Length of the byte sequences compared in training, and how much oftener toxic documents must use one.
 GRAM = 6
@@ -111,7 +111,7 @@ class Distance:
 
 def count_hits(distance: Distance, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hits and windows of each text of a run."""
-    words = Words(data, offsets, "space")
+    words = Words(data, offsets, "alnum")
     begin, end = split_windows(words)
     first = np.searchsorted(begin, offsets)
     _, some, same = np.unique(Windows(words.low).of(begin, end), return_index=True, return_inverse=True)
@@ -129,7 +129,7 @@ def drop_copies(texts: list[str], share: float = 0.3) -> list[str]:
     seen: set[int] = set()
     kept = []
     for text in texts:
-        runs = set(sequence_hashes(Words(*_joined([text]), "space").hashes, 3).tolist())
+        runs = set(sequence_hashes(Words(*_joined([text]), "alnum").hashes, 3).tolist())
         if not runs or len(runs & seen) < share * len(runs):
             kept.append(text)
             seen |= runs
@@ -142,7 +142,7 @@ def _telling_windows(toxic: list[str], ordinary: list[str]) -> list[bytes]:
         found = []
         for text in texts:
             data, offsets = _joined([" " + text + " "])
-            found.append(np.unique(Windows(Words(data, offsets, "space").low).all(GRAM)))
+            found.append(np.unique(Windows(Words(data, offsets, "alnum").low).all(GRAM)))
         return np.unique(np.concatenate(found), return_counts=True)
 
     grams, many = frequencies(toxic)
@@ -153,7 +153,7 @@ def _telling_windows(toxic: list[str], ordinary: list[str]) -> list[bytes]:
     out = []
     for text in toxic:
         data, offsets = _joined([" " + text + " "])
-        words = Words(data, offsets, "space")
+        words = Words(data, offsets, "alnum")
         at = np.flatnonzero(np.isin(Windows(words.low).all(GRAM), chosen))
         begin, end = split_windows(words)
         k = np.searchsorted(begin, at + 1, "right") - 1
@@ -176,6 +176,27 @@ def toxic_dictionary(windows: list[bytes]) -> bytes:
     return content[-TOXIC_BYTES:]
 
 
+def _prune(telling: list[bytes], ordinary_content: bytes, toxic: list[str], ordinary: list[str], size: int = 5) -> list[bytes]:
+    """Without the windows that shorten ordinary words: their sequences stand in hits of ordinary documents too often."""
+    distance = Distance(ordinary_content, toxic_dictionary(telling))
+
+    def shares(texts: list[str]) -> dict[bytes, float]:
+        """For each short sequence the share of texts with a hit window that holds it."""
+        held: Counter[bytes] = Counter()
+        for text in texts:
+            words = Words(*_joined([text]), "alnum")
+            begin, end = split_windows(words)
+            hit = np.flatnonzero(distance.gaps(words.low, begin, end) >= MARGIN)
+            found = {b" " + words.low[begin[k]:end[k]].tobytes() + b" " for k in hit.tolist()}
+            held.update({w[i:i + size] for w in found for i in range(len(w) - size + 1)})
+        return {g: n / len(texts) for g, n in held.items()}
+
+    bad, good = shares(ordinary), shares(toxic)
+    most = lambda table, w: max((table.get(w[i:i + size], 0.0) for i in range(len(w) - size + 1)), default=0.0)
+    keep = {w for w in set(telling) if most(bad, w) <= 0.2 * most(good, w)}
+    return [w for w in telling if w in keep]
+
+
 def fit(rows: list[tuple[str, int]]) -> ToxicityModel | None:
     """Train on (text, label) rows, of which every third only sets the rates and the cut."""
     rows = list(dict.fromkeys((t or "", int(y)) for t, y in rows))
@@ -189,9 +210,12 @@ def fit(rows: list[tuple[str, int]]) -> ToxicityModel | None:
         words = text.lower().encode().split()
         samples += [b" " + b" ".join(words[i:i + 8]) + b" " for i in range(0, min(len(words), 400), 8)]
     telling = _telling_windows(toxic, ordinary)
+    base = ordinary_dictionary(samples)
+    for _ in range(2):
+        telling = telling and _prune(telling, base, toxic[:800], ordinary[:800])
     if not telling:
         return None
-    model = ToxicityModel(ordinary_dictionary(samples), toxic_dictionary(telling), (0.0, 0.0), 1.0, 0.0)
+    model = ToxicityModel(base, toxic_dictionary(telling), (0.0, 0.0), 1.0, 0.0)
     hits, windows = count_hits(Distance(model.ordinary, model.toxic), *_joined([t for t, _ in held]))
     labels = np.array([y for _, y in held], bool)
     low = (hits[~labels].sum() + 0.5) / (windows[~labels].sum() + 1)
