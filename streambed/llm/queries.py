@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from streambed.llm.chat import chat_digest
 from streambed.llm.decontaminate import decontamination_digest
 from streambed.llm.packing import packing_digest
+from streambed.llm.quality import quality_digest
 from streambed.llm.shared import table
 from streambed.llm.sharding import sharding_digest
 from streambed.llm.toxicity import toxicity_digest
@@ -26,6 +27,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str, tokenizer: str = "") -> DataFrame:
     return packing_digest(table(spark, sf_dir, "documents"), tokenizer or tokenizer_path())
 
@@ -48,6 +53,7 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_quality": op2_quality,
     "op5_packing": op5_packing,
     "op6_warc_index": op6_warc_index,
     "op7_chat_formatting": op7_chat_formatting,
