@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from streambed.llm.chat import chat_digest
 from streambed.llm.decontaminate import decontamination_digest
+from streambed.llm.fingerprints import fingerprint_edits
 from streambed.llm.packing import packing_digest
 from streambed.llm.quality import quality_digest
 from streambed.llm.shared import table
@@ -31,6 +32,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str, tokenizer: str = "") -> DataFrame:
     return packing_digest(table(spark, sf_dir, "documents"), tokenizer or tokenizer_path())
 
@@ -54,6 +59,7 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
+    "op4_minhash_fingerprints": op4_minhash_fingerprints,
     "op5_packing": op5_packing,
     "op6_warc_index": op6_warc_index,
     "op7_chat_formatting": op7_chat_formatting,
