@@ -13,6 +13,7 @@ from streambed.llm.packing import packing_digest
 from streambed.llm.quality import quality_digest
 from streambed.llm.shared import table
 from streambed.llm.sharding import sharding_digest
+from streambed.llm.suffix_dedup import repeats_digest
 from streambed.llm.toxicity import toxicity_digest
 from streambed.llm.warc import warc_digest
 
@@ -32,6 +33,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_digest(table(spark, sf_dir, "documents"))
+
+
 def op4_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_minhash_fingerprints": op4_minhash_fingerprints,
     "op5_packing": op5_packing,
     "op6_warc_index": op6_warc_index,
