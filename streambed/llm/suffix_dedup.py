@@ -337,7 +337,7 @@ def match_runs(asked: DataFrame, length: int, n: int) -> DataFrame:
             if out[0]:
                 yield _packed([0] * len(out[0]), *out)
 
-    blocks = asked.select("doc", "key", "text", "marks").mapInArrow(emit, _PACKED)
+    blocks = asked.mapInArrow(emit, _PACKED)
     return blocks.repartition(n, "bucket").mapInArrow(meet, _PACKED).select("doc", "key", "packed")
 
 
@@ -364,7 +364,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Colu
     runs = materialize(find_runs(text, length), "runs")
     marks = runs.groupBy("doc", "key").agg(F.collect_list("packed").alias("marks"), F.max("asks").alias("asks"))
     asked = named.join(marks, ["doc", "key"], "left").where(F.coalesce("asks", F.lit(False)))
-    late = match_runs(asked.select("doc", "key", F.coalesce("text", F.lit("")).alias("text"), "marks"), length, buckets(spark))
+    late = match_runs(asked.select(*named.columns, "marks"), length, buckets(spark))  # all columns, so that the joins share one shuffle of the documents
     late = late.groupBy("doc", "key").agg(F.collect_list("packed").alias("late"))
     nothing = F.array().cast("array<binary>")
     joined = named.join(marks, ["doc", "key"], "left").join(late, ["doc", "key"], "left")
