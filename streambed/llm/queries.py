@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from streambed.llm.chat import chat_digest
 from streambed.llm.decontaminate import decontamination_digest
 from streambed.llm.fingerprints import fingerprint_edits
+from streambed.llm.ngram_join import near_duplicates
 from streambed.llm.packing import packing_digest
 from streambed.llm.quality import quality_digest
 from streambed.llm.shared import table
@@ -53,6 +54,10 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(table(spark, sf_dir, "conversations"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_warc_index": op6_warc_index,
     "op7_chat_formatting": op7_chat_formatting,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_kd_sharding": op10_kd_sharding,
 }
