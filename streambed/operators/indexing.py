@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import locator, parse_segment_key, row_key
@@ -11,30 +11,14 @@ from .blocked import match, running_totals
 from .decode import parse_index_fields
 from .routing import assign_shards
 
-# Fixed value: the longest line a segment may hold.
-MAX_LINE_BYTES = 4 * 1024 * 1024
 
-# A file up to this size is ordered within one task; larger ones by read split.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
-
-
-def with_byte_ranges(lines: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+def with_byte_ranges(lines: DataFrame) -> DataFrame:
     """Add ``start_byte`` and ``end_byte`` (newline excluded) to the lines of segments.
 
-    Needs ``bucket, key, file_size, split_start, line_no, line_bytes``.
+    Needs ``bucket, key, split_start, line_no, line_bytes``. Lines meet only inside their read split.
     """
-    small = lines.where(F.col("file_size") <= whole_file_bytes)
-    large = lines.where(F.col("file_size") > whole_file_bytes)
     taken = F.col("line_bytes") + 1
-    before = (
-        Window.partitionBy("bucket", "key")
-        .orderBy("split_start", "line_no")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    placed = small.withColumn("start_byte", F.coalesce(F.sum(taken).over(before), F.lit(0)))
-    placed = placed.unionByName(
-        running_totals(large, ["bucket", "key"], "split_start", ["line_no"], {"start_byte": taken})
-    )
+    placed = running_totals(lines, ["bucket", "key"], "split_start", ["line_no"], {"start_byte": taken})
     return placed.withColumn("end_byte", F.col("start_byte") + F.col("line_bytes"))
 
 
@@ -64,11 +48,11 @@ def index_lines(lines: DataFrame, num_shards: int, strict_reference: bool = Fals
     return entries_of(with_byte_ranges(parsed), num_shards)
 
 
-def segment_results(parsed: DataFrame, max_line_bytes: int | None = MAX_LINE_BYTES) -> DataFrame:
+def segment_results(parsed: DataFrame, max_line_bytes: int | None = None) -> DataFrame:
     """Per segment the indexed, malformed and skipped lines, and an error if it failed.
 
-    A segment with a line above ``max_line_bytes`` fails as a whole; ``None`` accepts any
-    length. A failed segment indexes nothing.
+    Lines may have any length unless ``max_line_bytes`` is given: a segment with a longer
+    one then fails as a whole. A failed segment indexes nothing.
     """
     of = lambda status: F.sum(F.when(F.col("status") == status, 1).otherwise(0))
     too_long = (

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.indexing import (
-    MAX_LINE_BYTES,
     advance_cursors,
     cycle_totals,
     drop_failed,
@@ -27,7 +26,9 @@ from ..sinks.index import (
     save_cursors,
     write_delta,
 )
-from ..sources.segments import read_segment_lines
+from ..sources.segments import list_segments, read_segment_lines
+
+SEGMENT_RESULTS = "bucket string, key string, indexed long, malformed long, skipped long, error string"
 
 
 @dataclass
@@ -36,10 +37,10 @@ class IndexConf:
     buckets: dict[str, str] = field(default_factory=dict)
     checkpoint: str | None = None
     num_shards: int = 16
-    # Poll interval, compaction threshold, longest line.
+    # Poll interval, compaction threshold. Lines may have any length.
     trigger: str = "5 seconds"
     compaction_threshold: int = COMPACTION_THRESHOLD
-    max_line_bytes: int | None = MAX_LINE_BYTES
+    max_line_bytes: int | None = None
     strict_reference: bool = False
     max_files_per_trigger: int = 10_000
 
@@ -72,12 +73,14 @@ def compact_due(spark: SparkSession, conf: IndexConf) -> list[int]:
 def run_index_cycle(spark: SparkSession, conf: IndexConf) -> DataFrame:
     """Index everything after the cursors once; one row of cycle totals.
 
-    The batch number is the cursor version to be written, so a cycle that failed before
+    A cycle that finds no new segment writes nothing. The batch number is the cursor version to be written, so a cycle that failed before
     saving its cursors is repeated under the same number and replaces what it left.
     """
     version, cursors = load_cursors(spark, conf.root)
     # One cursor per configured bucket.
     known = {row.bucket: row.last_key for row in cursors.collect()}
+    if list_segments(spark, conf.buckets, known).isEmpty():
+        return cycle_totals(spark.createDataFrame([], SEGMENT_RESULTS))
     lines = read_segment_lines(spark, conf.buckets, known)
     results = index_parsed(spark, parse_lines(lines, conf.strict_reference), conf, version + 1)
     moved = merge_cursors(cursors, advance_cursors(results))

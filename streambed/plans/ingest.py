@@ -13,7 +13,7 @@ from ..operators.decode import decode_events, split_rejects
 from ..operators.dedup import DEFAULT_WINDOW_S, kept_keys
 from ..operators.packing import MAX_BYTES, MAX_ROWS
 from ..session import cut
-from ..sinks.segments import label_by_task, write_rejects, write_segments
+from ..sinks.segments import committed, label_by_task, write_rejects, write_segments
 
 
 @dataclass
@@ -32,26 +32,32 @@ class IngestConf:
 
 
 def flush_batch(decoded: DataFrame, conf: IngestConf, batch_id: int) -> dict[str, int]:
-    """Write one decoded, deduplicated batch: segments, manifest, rejects; return counts.
+    """Write one decoded, deduplicated batch: rejects, segments, manifest; return counts.
+
+    A batch whose manifest is there is complete and stays as it is; its rows are only counted,
+    which also lets a stream that repeats it commit its state.
 
     The batch is read by three writes, so it is kept for their duration, sorted inside
     each task so that a recomputed partition labels its rows the same way.
     """
-    held = decoded.sortWithinPartitions("event_id", "payload").persist(StorageLevel.MEMORY_AND_DISK)
+    order = [c for c in ("arrival", "event_id", "payload") if c in decoded.columns]
+    held = decoded.sortWithinPartitions(*order).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = F.col("reason").isNull()
         totals = held.agg(
             F.count(F.when(good, 1)).alias("flushed"),
             F.count(F.when(~good, 1)).alias("rejected"),
-            F.coalesce(F.max(F.when(good, F.octet_length("payload"))), F.lit(0)).alias("widest"),
         ).head()
+        counts = {"flushed": totals.flushed, "rejected": totals.rejected}
+        if committed(held.sparkSession, conf.root, conf.instance, batch_id) is not None:
+            return counts
         events, rejects = split_rejects(held)
-        if totals.flushed:
-            labelled = label_by_task(events, totals.widest, conf.max_rows, conf.max_bytes)
-            write_segments(labelled, batch_id, conf.root, conf.instance)
         if totals.rejected:
-            write_rejects(rejects, conf.root, batch_id)
-        return {"flushed": totals.flushed, "rejected": totals.rejected}
+            write_rejects(rejects, conf.root, conf.instance, batch_id)
+        if totals.flushed:  # last, as its manifest says that the batch is complete
+            labelled = label_by_task(events, conf.max_rows, conf.max_bytes)
+            write_segments(labelled, batch_id, conf.root, conf.instance)
+        return counts
     finally:
         held.unpersist()
 

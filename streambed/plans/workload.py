@@ -79,7 +79,7 @@ def reject_reasons(spark, sf_dir):
 def rejected_messages(spark, sf_dir):
     _, rejects = decode.split_rejects(decode.decode_events(inputs.messages(spark, sf_dir)))
     root = shared_dir(spark, "rejects")
-    write_rejects(rejects, root, 0)
+    write_rejects(rejects, root, "w0", 0)
     return spark.read.parquet(f"{root}/rejects").select("value", "reason")
 
 
@@ -312,9 +312,8 @@ def segment_manifest(spark, sf_dir):
 def segments_read_back(spark, sf_dir):
     """Segments written without a gather, listed and read again: every line, byte for byte."""
     events = _events(spark, sf_dir)
-    widest = events.agg(F.max(F.octet_length("payload"))).head()[0]
     root = shared_dir(spark, "segments")
-    write_segments(label_by_task(events, widest, max_rows=700), 0, root, "w0", flush_ts=1_704_067_200)
+    write_segments(label_by_task(events, max_rows=700), 0, root, "w0", flush_ts=1_704_067_200)
     buckets = {"events-0": root}
     sizes = list_segments(spark, buckets).groupBy("bucket", "key").agg(F.sum("size").alias("size"))
     ends = indexing.with_byte_ranges(read_segment_lines(spark, buckets))
@@ -553,7 +552,8 @@ def _stream_ingest(spark, sf_dir, mode) -> DataFrame:
     again = sent.where(F.col("offset") % 10 == 0)
     sent.unionByName(again).select("value").write.text(source)
     conf = IngestConf(
-        root=root, instance="w0", max_rows=2000, source={"format": "text", "path": source}, dedup_mode=mode
+        root=root, instance="w0", max_rows=2000, source={"format": "text", "path": source}, dedup_mode=mode,
+        checkpoint=shared_dir(spark, "checkpoint"),
     )
     run_ingest(spark, conf, once=True).awaitTermination()
     stored = read_segment_lines(spark, {"b": root}).select(F.lit("").alias("reason"), F.col("line").alias("value"))
@@ -575,7 +575,7 @@ def stream_ingest_arrival_clock(spark, sf_dir):
 
 @query
 def stream_index(spark, sf_dir):
-    conf = IndexConf(root=shared_dir(spark, "index"), num_shards=SHARDS)
+    conf = IndexConf(root=shared_dir(spark, "index"), num_shards=SHARDS, checkpoint=shared_dir(spark, "checkpoint"))
     conf.buckets = {"events-0": _ingested(spark, sf_dir)}
     run_index(spark, conf, once=True).awaitTermination()
     return entries_per_shard(index_sink.read_index(spark, conf.root))

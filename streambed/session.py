@@ -44,13 +44,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 
-    The cluster names that folder and every executor sees it. Only where it is unset, as
-    in tests, does this fall back to a temporary folder of this machine.
+    The cluster names that folder and every executor sees it. Only a local session without
+    that setting, as in tests, gets a temporary folder of this machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="streambed-")
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/streambed/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -63,9 +64,3 @@ def cut(rows: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(rows.sparkSession, purpose)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
-def spread(rows: DataFrame) -> DataFrame:
-    """Use all cores for costly work on an input of fewer splits than cores."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

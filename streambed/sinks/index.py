@@ -67,7 +67,9 @@ def list_deltas(spark: SparkSession, root: str) -> DataFrame:
     """``shard, batch, path`` of every delta file, from the listing alone."""
     try:
         files = spark.read.format("binaryFile").load(f"{root}/delta")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "shard int, batch long, path string")
     if "shard" not in files.columns:
         return spark.createDataFrame([], "shard int, batch long, path string")
@@ -117,10 +119,11 @@ def _all_entries(spark: SparkSession, root: str, shards: Sequence[int] | None =
     base = base.join(
         state.select("shard", F.col("baseline").alias("version")), ["shard", "version"], "left_semi"
     )
-    merged = state.select(F.col("shard").alias("__shard"), "merged_through")
-    delta = delta.join(merged, F.col("shard") == F.col("__shard"), "left").where(
-        F.col("batch") > F.coalesce("merged_through", F.lit(-1))
-    )
+    # Literals on partition columns: merged deltas are dropped while listing.
+    merged = {row.shard: row.merged_through for row in state.collect()}
+    if merged:
+        through = F.create_map(*[F.lit(x) for pair in merged.items() for x in pair])
+        delta = delta.where(F.col("batch") > F.coalesce(F.try_element_at(through, F.col("shard")), F.lit(-1)))
     return base.select(*names).unionByName(delta.select(*names))
 
 

@@ -1,28 +1,58 @@
 """Segment files with their manifest, and rejected messages.
 
-Every write of a batch goes to a folder that is a function of the batch, and replaces it.
-A batch that runs again after a failure therefore leaves exactly one copy.
+Every write of a batch goes to folders named by writer instance and batch. The manifest comes
+last: a batch that has one is complete and is never written again, so what an index
+holds of it stays valid; a batch without one is replaced as a whole.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.packing import MAX_BYTES, MAX_ROWS
 
-_ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a task in these bits
+_MANIFEST = (
+    "key string, instance_id string, segment_id string, event_count long, batch_id long, "
+    "flush_ts long, size_bytes long"
+)
 
 
-def flush_time(spark: SparkSession, root: str, batch_id: int, now: int | None = None) -> int:
-    """The flush second of a batch: recorded at its first attempt, read back later."""
-    path = f"{root}/_flushes/batch={batch_id}"
+def _stored(spark: SparkSession, path: str, ddl: str) -> DataFrame | None:
+    """A table of a batch, or None if it was not written yet."""
     try:
-        return spark.read.schema("flush_ts long").parquet(path).head().flush_ts
-    except (AnalysisException, AttributeError):
+        return spark.read.schema(ddl).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _of_batch(root: str, table: str, instance: str, batch_id: int) -> str:
+    return f"{root}/{table}/instance={instance}/batch={batch_id}"
+
+
+def committed(spark: SparkSession, root: str, instance: str, batch_id: int) -> DataFrame | None:
+    """The manifest of a complete batch, else None."""
+    return _stored(spark, _of_batch(root, "manifest", instance, batch_id), _MANIFEST)
+
+
+def flush_time(spark: SparkSession, root: str, instance: str, batch_id: int, now: int | None = None) -> int:
+    """The flush second of a batch: recorded at its first attempt, read back later."""
+    path = _of_batch(root, "_flushes", instance, batch_id)
+    stored = _stored(spark, path, "flush_ts long")
+    row = stored.head() if stored is not None else None
+    if row is not None:
+        return row.flush_ts
+    else:
         stamp = int(time.time()) if now is None else now
         spark.range(1).select(F.lit(stamp).cast("long").alias("flush_ts")).coalesce(
             1
@@ -36,21 +66,26 @@ def one_line(payload: Column) -> Column:
 
 
 def label_by_task(
-    events: DataFrame, widest_bytes: int, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
+    events: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
 ) -> DataFrame:
     """Add ``segment`` labels that keep both limits, with no shuffle.
 
-    A task's rows are cut every so many rows that even the widest payloads would fit.
-    Events must come from a cache or a sorted partition, so that a row keeps its place.
+    A task's rows are cut where a running count or the running bytes of the lines would pass
+    a limit; a longer line is a segment of its own. Events must come from a cache or a
+    sorted partition, so that a row keeps its place.
     """
-    rows = max(1, min(max_rows, max_bytes // max(widest_bytes + 1, 1)))
-    place = F.monotonically_increasing_id()
-    task = F.shiftright(place, _ROW_BITS)
-    number = F.floor(place.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) / F.lit(rows))
-    return events.withColumn(
-        "segment",
-        F.concat_ws("-", F.lpad(task.cast("string"), 6, "0"), F.lpad(number.cast("string"), 6, "0")),
-    )
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number, rows, size = TaskContext.get().partitionId(), 0, 0, 0
+        for batch in batches:
+            labels = []
+            for taken in pc.binary_length(batch.column("payload")).to_pylist():
+                if rows and (rows >= max_rows or size + taken + 1 > max_bytes):
+                    number, rows, size = number + 1, 0, 0
+                rows, size = rows + 1, size + taken + 1
+                labels.append(f"{task:06d}-{number:06d}")
+            yield batch.append_column("segment", pa.array(labels, pa.string()))
+
+    return events.mapInArrow(cut, T.StructType([*events.schema.fields, T.StructField("segment", T.StringType())]))
 
 
 def write_segments(
@@ -68,7 +103,7 @@ def write_segments(
     first, for labels that cross tasks; a segment is bounded by the flush limits.
     """
     spark = events.sparkSession
-    stamp = flush_time(spark, root, batch_id, flush_ts)
+    stamp = flush_time(spark, root, instance, batch_id, flush_ts)
     folder = f"events/{stamp}/{instance}/b{batch_id:09d}"
     lines = events.select("segment", one_line(F.col("payload")).alias("value"))
     if gather:
@@ -80,7 +115,7 @@ def write_segments(
         F.count("*").alias("event_count"),
         F.sum(F.octet_length("payload") + 1).cast("long").alias("size_bytes"),
     )
-    path = f"{root}/manifest/batch={batch_id}"
+    path = _of_batch(root, "manifest", instance, batch_id)
     manifest.select(
         F.concat(F.lit(f"{folder}/segment="), "segment").alias("key"),
         F.lit(instance).alias("instance_id"),
@@ -93,5 +128,5 @@ def write_segments(
     return spark.read.parquet(path)
 
 
-def write_rejects(rejects: DataFrame, root: str, batch_id: int) -> None:
-    rejects.write.mode("overwrite").parquet(f"{root}/rejects/batch={batch_id}")
+def write_rejects(rejects: DataFrame, root: str, instance: str, batch_id: int) -> None:
+    rejects.write.mode("overwrite").parquet(_of_batch(root, "rejects", instance, batch_id))

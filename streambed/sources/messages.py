@@ -7,9 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Where a new consumer group starts, and messages per fetch and consumer.
+# Fixed value: where a new consumer group starts.
 STARTING_OFFSETS = "earliest"
-FETCH_BATCH = 100
+# A file stream skips files this much older than the newest one; far beyond any file's age.
+MAX_FILE_AGE = "36500d"
 
 
 def read_messages(
@@ -32,6 +33,8 @@ def read_messages(
         raise ValueError(f"unknown message source {source!r}")
     path = settings.pop("path")
     topic = settings.pop("topic", "files")
+    if stream:
+        settings.setdefault("maxFileAge", MAX_FILE_AGE)
     raw = reader.options(lineSep="\n", **settings).load(path)
     # Files keep the order of lines within a read split; splits stand in for partitions.
     place = F.monotonically_increasing_id()

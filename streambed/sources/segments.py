@@ -14,6 +14,7 @@ from py4j.protocol import Py4JJavaError
 from ..functions.keys import parse_segment_key
 from ..operators.indexing import sort_segments
 from ..schemas import SEGMENTS
+from .messages import MAX_FILE_AGE
 
 log = logging.getLogger(__name__)
 
@@ -133,6 +134,7 @@ def stream_segment_lines(
     text = (
         spark.readStream.option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", str(max_files))
+        .option("maxFileAge", MAX_FILE_AGE)
         .text(_folder(root, prefix), lineSep="\n")
     )
     key = _key_of(_file_path(), root)

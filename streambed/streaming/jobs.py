@@ -10,7 +10,6 @@ from ..operators.decode import decode_events
 from ..operators.indexing import parse_lines
 from ..plans.index import IndexConf, compact_due, index_parsed
 from ..plans.ingest import IngestConf, flush_batch
-from ..session import shared_dir
 from ..sources.messages import read_messages, with_arrival
 from ..sources.segments import stream_segment_lines
 from .dedup import dedup_stream, drained
@@ -20,6 +19,13 @@ def _trigger(interval: str, once: bool) -> dict:
     return {"availableNow": True} if once else {"processingTime": interval}
 
 
+def _checkpoint(conf: IngestConf | IndexConf) -> str:
+    """Batch numbers live here: a job that forgot them would write over its own batches."""
+    if not conf.checkpoint:
+        raise ValueError("a streaming job needs a checkpoint folder of its own")
+    return conf.checkpoint
+
+
 def run_ingest(spark: SparkSession, conf: IngestConf, once: bool = False) -> StreamingQuery:
     """Messages to segments, one flush per micro-batch; ``once`` drains and stops.
 
@@ -50,7 +56,7 @@ def run_ingest(spark: SparkSession, conf: IngestConf, once: bool = False) -> Str
 
     writer = (
         kept.writeStream.foreachBatch(flush)
-        .option("checkpointLocation", conf.checkpoint or shared_dir(spark, "ingest"))
+        .option("checkpointLocation", _checkpoint(conf))
         .trigger(**_trigger(conf.trigger, once))
         .queryName(f"ingest-{conf.instance}")
     )
@@ -81,7 +87,7 @@ def run_index(spark: SparkSession, conf: IndexConf, once: bool = False) -> Strea
 
     return (
         lines.writeStream.foreachBatch(cycle)
-        .option("checkpointLocation", conf.checkpoint or shared_dir(spark, "index"))
+        .option("checkpointLocation", _checkpoint(conf))
         .trigger(**_trigger(conf.trigger, once))
         .queryName("index")
         .start()

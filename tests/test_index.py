@@ -18,10 +18,9 @@ def put(root, key, text):
     path.write_bytes(text.encode())
 
 
-@pytest.mark.parametrize("whole", [1 << 20, 1])
-def test_byte_ranges_slice_back(spark, tmp_path, whole):
+def test_byte_ranges_slice_back(spark, tmp_path):
     put(tmp_path, "events/1700000000/i1/s 1+.ndjson", TEXT)
-    rows = with_byte_ranges(read_segment_lines(spark, {"b": str(tmp_path)}), whole).orderBy("start_byte").collect()
+    rows = with_byte_ranges(read_segment_lines(spark, {"b": str(tmp_path)})).orderBy("start_byte").collect()
     assert [(r.start_byte, r.end_byte) for r in rows] == [(0, 7), (8, 8), (9, 16), (17, 21)]
     raw = TEXT.encode()
     assert [raw[r.start_byte : r.end_byte].decode() for r in rows] == [r.line for r in rows]
@@ -35,7 +34,7 @@ def test_large_segment_in_many_splits(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
     try:
         lines = read_segment_lines(spark, {"b": str(tmp_path)})
-        rows = with_byte_ranges(lines, 1000).collect()
+        rows = with_byte_ranges(lines).collect()
         assert len({r.split_start for r in rows}) > 3
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
@@ -104,6 +103,58 @@ def test_a_line_too_long_fails_its_segment_only(spark, tmp_path):
     assert load_cursors(spark, conf.root)[1].head().last_key == "events/1/w/s1.ndjson"
 
 
+def test_a_long_line_is_indexed_with_its_neighbours(spark, tmp_path):
+    put(tmp_path / "b", "events/1/w/s.ndjson", line("e1") + line("x" * (5 << 20)) + line("e2"))
+    conf = conf_for(tmp_path)
+    totals = run_index_cycle(spark, conf).head()
+    assert (totals.total_indexed, totals.total_errors) == (3, 0)
+    before = sorted(p.name for p in (tmp_path / "index").rglob("*") if p.is_dir()) if (tmp_path / "index").exists() else []
+    assert run_index_cycle(spark, conf).head().total_segments == 0
+    after = sorted(p.name for p in (tmp_path / "index").rglob("*") if p.is_dir()) if (tmp_path / "index").exists() else []
+    assert before == after  # an idle cycle writes nothing
+
+
+def test_merged_deltas_are_pruned_while_listing(spark, tmp_path):
+    put(tmp_path / "b", "events/1/w/s.ndjson", line("e1"))
+    conf = conf_for(tmp_path, compaction_threshold=1)
+    run_index_cycle(spark, conf)
+    plan = read_index(spark, conf.root)._jdf.queryExecution().executedPlan().toString()
+    assert any("batch" in part.split("]")[0] and "map" in part.split("PushedFilters")[0].lower() for part in plan.split("PartitionFilters: [")[1:])
+
+
+def test_stream_jobs_need_a_checkpoint(spark, tmp_path):
+    put(tmp_path / "b", "events/1/w/s.ndjson", line("e1"))
+    with pytest.raises(ValueError, match="checkpoint"):
+        run_index(spark, conf_for(tmp_path, checkpoint=None), once=True)
+
+
+def test_old_files_are_streamed(spark, tmp_path):
+    import os
+    put(tmp_path / "b", "events/9/w/new.ndjson", line("e1"))
+    put(tmp_path / "b", "events/1/w/old.ndjson", line("e2"))
+    old = tmp_path / "b" / "events/1/w/old.ndjson"
+    os.utime(old, (old.stat().st_mtime - 30 * 86_400,) * 2)
+    conf = conf_for(tmp_path, checkpoint=str(tmp_path / "checkpoint"), max_files_per_trigger=1)
+    run_index(spark, conf, once=True).awaitTermination()
+    assert len(entries(spark, conf)) == 2
+
+
+def test_two_writers_and_a_wide_payload(spark, tmp_path):
+    rows = [(f'{{"_event_id":"e{n}","_event_timestamp":"2024-01-01T00:00:00Z","_category":"{"c" * (5000 if n == 7 else 5)}"}}', "t", 0, n, n) for n in range(100)]
+    rows += [("bad", "t", 0, 100 + n, 100 + n) for n in range(3)]
+    messages = spark.createDataFrame(rows, "value string, topic string, partition int, offset long, arrival long").coalesce(1)
+    for name in ("w0", "w1"):
+        ingest_batch(messages, IngestConf(root=str(tmp_path / "out"), instance=name, max_rows=50, max_bytes=4000))
+    manifest = spark.read.parquet(f"{tmp_path}/out/manifest")
+    assert manifest.agg(F.sum("event_count")).head()[0] == 200 and manifest.select("instance").distinct().count() == 2
+    assert spark.read.parquet(f"{tmp_path}/out/rejects").count() == 6
+    sizes = sorted(r.event_count for r in manifest.where("instance = 'w0'").collect())
+    assert sizes[0] == 1 and sizes[-1] > 20  # the wide line stands alone, the others are cut by their own bytes
+    before = {p for p in (tmp_path / "out" / "events").rglob("part-*")}
+    ingest_batch(messages, IngestConf(root=str(tmp_path / "out"), instance="w1", max_rows=50, max_bytes=4000))
+    assert before == {p for p in (tmp_path / "out" / "events").rglob("part-*")}  # a committed batch is not written again
+
+
 def test_stream_picks_up_new_and_late_segments(spark, tmp_path):
     bucket = tmp_path / "b"
     conf = conf_for(tmp_path, checkpoint=str(tmp_path / "checkpoint"))
