@@ -10,6 +10,7 @@ from streambed.llm.chat import chat_digest
 from streambed.llm.decontaminate import decontamination_digest
 from streambed.llm.fingerprints import fingerprint_edits
 from streambed.llm.ngram_join import near_duplicates
+from streambed.llm.oracles import ORACLES
 from streambed.llm.packing import packing_digest
 from streambed.llm.quality import quality_digest
 from streambed.llm.shared import table
@@ -66,6 +67,8 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding_digest(table(spark, sf_dir, "documents"))
 
 
+__all__ = ["ORACLES", "QUERIES", "tokenizer_path"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -78,5 +81,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_kd_sharding": op10_kd_sharding,
 }
-
-ORACLES: dict[str, str] = {}

@@ -242,5 +242,5 @@ def archive_index(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def warc_digest(pages: DataFrame) -> DataFrame:
-    """The contract's row per page, read back from the archives, with its place in the capture index."""
-    return archive_index(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "timestamp", "archive", "record_offset")
+    """The contract's row per page, read back from the archives, in the order of the capture index."""
+    return archive_index(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

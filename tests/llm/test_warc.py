@@ -36,8 +36,9 @@ def test_round_trip_and_global_order(spark, monkeypatch):
     monkeypatch.setattr(warc, "ARCHIVE_RECORDS", 20)
     monkeypatch.setattr(warc, "RANGE_ENTRIES", 60)
     rows = fixture()
-    got = warc.warc_digest(spark.createDataFrame(rows, SCHEMA)).collect()
-    assert sorted([tuple(r)[:5] for r in got], key=repr) == brute(rows)
+    pages = spark.createDataFrame(rows, SCHEMA)
+    assert sorted(map(tuple, warc.warc_digest(pages).collect()), key=repr) == brute(rows)
+    got = warc.archive_index(pages).collect()
     keys = [(r.url_key, r.timestamp, r.page_id is not None, r.page_id or 0) for r in got]
     assert keys == sorted(keys) and len({r.archive for r in got}) > 5
 
