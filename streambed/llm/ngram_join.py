@@ -36,10 +36,12 @@ from streambed.llm.shared import buckets, materialize, pieces, text_bytes
 SHINGLE_WORDS = 5
 #: Similarity is at least OVER / UNDER.
 OVER, UNDER = 3, 4
-SKETCH = 1 << 18
+SKETCH = 1 << 20
 #: Members of a hub that one task takes.
 HUB = 2000
-PACK_POSTINGS = 1 << 20
+PACK_POSTINGS = 1 << 19
+#: Neighbours by size that a member of a shingle is bounded against; members of larger groups stay.
+NEAR = 16
 NULL_ID = -(1 << 63)
 _POSTING = np.dtype([("shingle", "<u8"), ("node", "<i8"), ("size", "<u4"), ("place", "<u4")])
 
@@ -95,7 +97,7 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
 def name_classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """Step 1: (doc, key, n_shingles, node) of every row, and the frequency sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SKETCH, np.int64)
+        counts = np.zeros(SKETCH, np.uint32)
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             sizes, nodes = [], []
@@ -104,12 +106,12 @@ def name_classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 sizes += [len(s) for s in sets]
                 nodes += [node_of(s) for s in sets]
                 if sets:
-                    counts += np.bincount((np.concatenate(sets) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+                    np.add.at(counts, (np.concatenate(sets) % np.uint64(SKETCH)).astype(np.int64), np.uint32(1))
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), batch.column("key"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
                 ["doc", "key", "n_shingles", "node", "part", "counts"])
-        parts = counts.reshape(64, -1)
+        parts = np.minimum(counts, 65_535).astype("<u2").reshape(64, -1)
         none = pa.nulls(64, pa.int64())
         yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(range(64), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["doc", "key", "n_shingles", "node", "part", "counts"])
 
@@ -117,7 +119,7 @@ def name_classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts"), strict=True):
-                total[part] = total.get(part, 0) + np.frombuffer(counts.as_py(), np.int64)
+                total[part] = total.get(part, 0) + np.frombuffer(counts.as_py(), "<u2").astype(np.int64)
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())], ["part", "counts"])
 
@@ -208,15 +210,22 @@ def find_meetings(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
         rows = rows[first]
         begins = np.flatnonzero(_groups(rows["shingle"], rows["size"]))
         many = np.diff(np.append(begins, len(rows)))
-        pair = begins[many == 2]
         size, left = rows["size"].astype(np.int64), rows["size"].astype(np.int64) - rows["place"]
-        need = -(-OVER * (size[pair] + size[pair + 1]) // (OVER + UNDER))
-        fails = np.minimum(left[pair], left[pair + 1]) < need  # no earlier common shingle: it would be a meeting of its own
         group = np.repeat(np.arange(len(begins)), many)
-        use = np.repeat(many > 1, many)
-        use[pair[fails]] = use[pair[fails] + 1] = False
-        hub = np.minimum.reduceat(rows["node"], begins)[group] if len(begins) else rows["node"]
-        met = np.unique(np.stack([hub[use], rows["node"][use]], axis=1), axis=0)
+        use = np.repeat(many > NEAR + 1, many)
+        for d in range(1, min(NEAR, int(many.max(initial=1)) - 1) + 1):
+            # Had the two met at an earlier shingle they would meet there; here what is left decides.
+            need = -(-OVER * (size[:-d] + size[d:]) // (OVER + UNDER))
+            may = (group[:-d] == group[d:]) & (np.minimum(left[:-d], left[d:]) >= need)
+            use[:-d] |= may
+            use[d:] |= may
+        rows, group = rows[use], group[use]
+        if not len(rows):
+            return
+        begins = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        group = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(rows))))
+        hub = np.minimum.reduceat(rows["node"], begins)[group]
+        met = np.unique(np.stack([hub, rows["node"]], axis=1), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(met[:, 0], pa.int64()), pa.array(met[:, 1], pa.int64())], ["hub", "node"])
 
     blocks = docs.select("text").mapInArrow(emit, "bucket int, packed binary")
