@@ -28,11 +28,6 @@ def route(entries: DataFrame, salt_cols: tuple[str, ...] = ()) -> DataFrame:
     return entries.hint("rebalance", "shard", *salt_cols)
 
 
-def route_exact(entries: DataFrame, num_shards: int) -> DataFrame:
-    """Put shard ``n`` into partition ``n``; only for shards known to be of even size."""
-    return entries.repartitionById(num_shards, F.col("shard"))
-
-
 def shard_batches(
     entries: DataFrame, size: int = BATCH_SIZE, block_bytes: int = 64 * 1024 * 1024
 ) -> DataFrame:
