@@ -1,9 +1,9 @@
 """Document fingerprints: one-permutation MinHash with optimal densification, b-bit packed. Built-ins only.
 
 Every shingle (five words; all words of a shorter text) is hashed once. The top bits of the hash choose one of
-``BINS`` bins, the least hash of a bin is its value. An empty bin takes the value of a filled bin that a
-hash of both bin numbers picks: each empty bin draws from all filled bins alike and by itself, the same in every
-document, which is what optimal densification asks for, and it needs one round however few bins are filled.
+``BINS`` bins, the least hash of a bin is its value. An empty bin takes the value of the
+first filled bin in an order that hashes of its number give: each empty bin draws from all filled bins alike and by
+itself, the same in every document, which is what optimal densification asks for.
 Of each value ``BITS`` low-order bits are kept, packed as hex. Two fingerprints agree in a bin by
 chance with 2 ** -BITS; the likeness corrects that bias.
 
@@ -25,6 +25,8 @@ from pyspark.sql.window import Window
 SHINGLE_WORDS = 5
 BINS = 128
 BITS = 8
+#: Bins that an empty bin asks one by one before it looks for the first in order among all filled ones.
+TRIES = 6
 #: Rows of one range of ids, and the most ranges: the driver holds two numbers for each.
 RANGE_ROWS = 4_000
 MOST_RANGES = 4_096
@@ -33,49 +35,62 @@ MOST_RANGES = 4_096
 def shingle_hashes(text: Column) -> Column:
     """Sorted distinct hashes of the shingles of a text."""
     words = F.filter(F.split(F.lower(text), "[ \\t-\\r]+"), lambda w: w != "")
-    ids = F.transform(words, lambda w: F.xxhash64(w))
 
     def runs(word_ids: Column) -> Column:
         n = F.size(word_ids)
         some = F.transform(
             F.sequence(F.lit(1), n - (SHINGLE_WORDS - 1)),
-            lambda i: F.xxhash64(*[F.element_at(word_ids, i + k) for k in range(SHINGLE_WORDS)]))
-        return F.when(n >= SHINGLE_WORDS, some).when(n > 0, F.array(F.xxhash64(F.array_join(F.transform(word_ids, lambda x: x.cast("string")), " ")))).otherwise(F.array(F.lit(0).cast("long")))
+            lambda i: F.xxhash64(*[F.get(word_ids, i + (k - 1)) for k in range(SHINGLE_WORDS)]))
+        return F.when(n >= SHINGLE_WORDS, some).otherwise(F.array(F.xxhash64(word_ids)))
 
     # An array of one element, transformed: the word ids are computed once for all their uses.
-    return F.sort_array(F.element_at(F.transform(F.array(ids), runs), 1))
+    return F.sort_array(F.element_at(F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), runs), 1))
 
 
 def fingerprint(text: Column, bins: int = BINS, bits: int = BITS) -> Column:
-    """Hex of the packed low-order bits of all bins."""
+    """The low-order bits of all bins, as an array of numbers; ``packed`` makes it a string."""
     width = bins.bit_length() - 1
-    bin_of = lambda h: F.shiftrightunsigned(h, 64 - width).cast("int")
+    bin_of = lambda h: (F.shiftright(h, 64 - width) + bins // 2).cast("int")  # noqa: E731  rises with the hash
+    low = lambda h: h.bitwiseAND((1 << bits) - 1).cast("int")
 
     def filled(hashes: Column) -> Column:
         """Least hash of each bin that has one; hashes are sorted, so equal bins stand together."""
-        return F.filter(hashes, lambda h, i: (i == 0) | (bin_of(h) != bin_of(F.get(hashes, i - 1))))
+        return F.filter(hashes, lambda h, i: F.coalesce(F.shiftrightunsigned(h.bitwiseXOR(F.get(hashes, i - 1)), 64 - width), F.lit(1)) != 0)
 
-    def packed(held: Column) -> Column:
-        numbers = F.transform(held, bin_of)
+    def dense(held: Column) -> Column:
+        def some(numbers: Column) -> Column:
+            at = lambda b: F.get(held, F.array_position(numbers, b).cast("int") - 1)  # noqa: E731  null if the bin is empty
 
-        def value(b: Column) -> Column:
-            own = F.array_position(numbers, b)
-            lent = F.array_min(F.transform(held, lambda h: F.struct(F.xxhash64(b, bin_of(h)).alias("rank"), h.alias("h")))).getField("h")
-            h = F.when(own > 0, F.element_at(held, own.cast("int"))).otherwise(lent)
-            return F.lpad(F.hex(h.bitwiseAND((1 << bits) - 1)), -(-bits // 4), "0")
+            def value(b: Column) -> Column:
+                tries = [at(F.pmod(F.xxhash64(b, F.lit(t)), F.lit(bins)).cast("int")) for t in range(TRIES)]
+                # The rest of the order in which bins are asked: by a hash of both numbers, the number itself in its low bits.
+                last = F.array_min(F.transform(numbers, lambda n: F.shiftleft(F.shiftright(F.xxhash64(b, n, F.lit(-1)), width), width).bitwiseOR(n.cast("long"))))
+                lent = F.coalesce(*tries, at(last.bitwiseAND(bins - 1).cast("int")))
+                return low(F.coalesce(at(b), F.xxhash64(lent, b)))  # hashed anew: bins of one lender agree by chance each by itself
 
-        return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), value), "")
+            return F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), value)
+
+        return F.when(F.size(held) == bins, F.transform(held, low)).otherwise(
+            F.element_at(F.transform(F.array(F.transform(held, bin_of)), some), 1))
 
     once = F.transform(F.array(shingle_hashes(text)), filled)
-    return F.element_at(F.transform(once, packed), 1)
+    return F.element_at(F.transform(once, dense), 1)
+
+
+def packed(codes: Column, bits: int = BITS) -> Column:
+    """Hex of a fingerprint's numbers, ``bits`` each."""
+    names = F.array(*[F.lit(f"{k:0{-(-bits // 4)}x}") for k in range(1 << bits)])
+    return F.array_join(F.transform(codes, lambda c: F.get(names, c)), "")
+
+
+def unpacked(fingerprint: Column, bins: int = BINS, bits: int = BITS) -> Column:
+    digits = -(-bits // 4)
+    return F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: F.conv(F.substr(fingerprint, i * digits + 1, F.lit(digits)), 16, 10).cast("int"))
 
 
 def likeness(left: Column, right: Column, bins: int = BINS, bits: int = BITS) -> Column:
     """Estimated Jaccard similarity from the bins that agree, less what agrees by chance."""
-    digits = -(-bits // 4)
-    same = F.aggregate(
-        F.sequence(F.lit(0), F.lit(bins - 1)), F.lit(0),
-        lambda n, i: n + (F.substr(left, i * digits + 1, F.lit(digits)) == F.substr(right, i * digits + 1, F.lit(digits))).cast("int"))
+    same = F.aggregate(F.zip_with(left, right, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
     chance = 2.0 ** -bits
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), (same / F.lit(float(bins)) - chance) / (1 - chance)))
 
@@ -117,6 +132,6 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fingerprint", "next_fingerprint")
     rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", fingerprint(F.col("edited")).alias("edited_fingerprint"), "next_fingerprint")
     return rows.select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        "doc_id", "n_chars", "edited_sha256", packed(F.col("fingerprint")).alias("fingerprint"), packed(F.col("edited_fingerprint")).alias("edited_fingerprint"),
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))

@@ -76,3 +76,9 @@ def test_densification_is_unbiased(spark):
     rows = spark.createDataFrame(pairs, "a string, b string")
     got = rows.select(f.likeness(f.fingerprint(F.col("a")), f.fingerprint(F.col("b"))).alias("x")).collect()
     assert abs(sum(r.x for r in got) / 200 - 12 / 28) < 0.03
+
+
+def test_packing_is_reversible(spark):
+    rows = spark.createDataFrame([("a b c d e f g",), ("",)], "a string").select(f.fingerprint(F.col("a")).alias("x"))
+    for r in rows.select("x", f.unpacked(f.packed(F.col("x"))).alias("y")).collect():
+        assert r.x == r.y and len(r.x) == f.BINS
