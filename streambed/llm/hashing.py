@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 _RATE = 0x9E3779B97F4A7C15 | 1
@@ -24,23 +26,24 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 #: A wide value for each byte, so that texts of few different letters still differ in all bits.
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
-_powers: list[np.ndarray] = []
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """RATE**i and RATE**-i for i below n; kept for the next call, a larger one only while in use."""
-    if _powers and len(_powers[0]) >= n:
-        return _powers[0], _powers[1]
-    size = max(n, 1 << 20)
+@lru_cache(maxsize=1)
+def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """RATE**i and RATE**-i for i below ``size``."""
     up, down = np.full(size, _RATE, np.uint64), np.full(size, _INVERSE, np.uint64)
     up[0] = down[0] = 1
     np.multiply.accumulate(up, out=up)
     np.multiply.accumulate(down, out=down)
-    if size <= 1 << 22:
-        _powers[:] = [up, down]
     return up, down
 
 
+def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tables of at least n entries; the usual size is kept, a larger one only while in use."""
+    usual = 1 << 21
+    return _tables(usual) if n <= usual else _tables.__wrapped__(n)
+
+
 class Windows:
     """Hashes of any byte ranges of one text, from one running sum."""
 
