@@ -11,7 +11,8 @@ A partition is packed in blocks of about ``BLOCK_TOKENS``, which bounds memory a
 padded sequence per block. A task that runs again gives the same sequences: ids are numbered
 from the partition number.
 
-Defined cases: null text is empty; an empty document is the one end token; a document longer than a
+Defined cases: ids are those of ``tokenizers`` at its default flags, so the string of a special token in a
+text is that token; null text is empty; an empty document is the one end token; a document longer than a
 sequence runs over several; repeated rows are packed each; an empty table gives no rows; extra
 columns are not read.
 """
@@ -39,24 +40,29 @@ BLOCK_TOKENS = 1 << 20
 #: The public splitting rule of the vocabulary, a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: The vocabulary's special token, which its ranks file leaves out.
+SPECIAL = {"<|endoftext|>": 50256}
+
 
 @lru_cache(maxsize=2)
 def load_tokenizer(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
-    """The byte-level BPE of a ranks file, and for each id whether a sentence may end behind it.
-
-    Strings of special tokens in a text are ordinary text.
-    """
+    """The byte-level BPE of a ranks file, and for each id whether a sentence may end behind it."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    ends = np.zeros(max(ranks.values()) + 1, bool)
+    ends = np.zeros(max(*ranks.values(), *SPECIAL.values()) + 1, bool)
     for token, number in ranks.items():
         ends[number] = token[-1:] in (b".", b"!", b"?", b"\n")
-    return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), ends
+    return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL), ends
 
 
-def encode(model: tiktoken.Encoding, text: str | None) -> bytes:
-    """Ids of a text as little-endian unsigned 32-bit numbers."""
-    return np.array(model.encode_ordinary(text or ""), "<u4").tobytes()
+def encode(model: tiktoken.Encoding, text: str | None, special: bool = False) -> bytes:
+    """Ids of a text as little-endian unsigned 32-bit numbers.
+
+    ``special`` gives strings of special tokens their own ids, as ``tokenizers`` does unless told
+    otherwise; without it they are ordinary text.
+    """
+    ids = model.encode(text or "", allowed_special="all") if special else model.encode_ordinary(text or "")
+    return np.array(ids, "<u4").tobytes()
 
 
 def candidates(doc_ends: np.ndarray, sentence: np.ndarray, grid: int = GRID) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +145,7 @@ def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
 
         for batch in batches:
             for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                ids = encode(model, text.as_py()) + end
+                ids = encode(model, text.as_py(), special=True) + end
                 held.append((doc.as_py(), ids))
                 size += len(ids) // 4
                 if size >= BLOCK_TOKENS:

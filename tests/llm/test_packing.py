@@ -70,3 +70,16 @@ def test_dynamic_program_is_least():
 
 def test_empty_table(spark):
     assert packing.packing_digest(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_special_strings_are_their_token_as_by_default(spark):
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = ["a <|endoftext|> b", end, f"{end}{end}", f"x{end}y", f"  {end}  z", f"one.  {end}\n\n{end}", "<|endoftext|", "<|ENDOFTEXT|>", "don't 42 é 👍🏽", "", f"{end} " * 900]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = defaultdict(list)
+    for r in sorted(packing.pack(docs, PATH).collect(), key=lambda r: r.start):
+        got[r.doc_id] += np.frombuffer(r.ids, "<u4").tolist()
+        assert r.doc_tokens == len(model.encode(texts[r.doc_id], add_special_tokens=False).ids) + 1
+    assert dict(got) == {k: [*model.encode(t, add_special_tokens=False).ids, 0] for k, t in enumerate(texts)}
+    assert got[0] == [64, 220, 50256, 275, 0]
