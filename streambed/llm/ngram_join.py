@@ -8,17 +8,21 @@ class from the start, so copies cost one name each.
 2. Each class sends the prefix that a partner must share one shingle of, packed by hash bucket. The members of a shingle are
    cut where sizes are too far apart (length filter); a pair also where its first places leave too little
    (positional filter). What is left meets at a hub, the least member: every pair that shares a prefix shingle shares a hub.
-3. Hubs get the texts of their members, each member once per hub. Within a hub, pairs already connected are
+3. Hubs get the texts of their members. A hub of more than ``HUB`` members is dealt to blocks that meet as pairs of blocks.
+   Every similar pair is found (``find_pairs``): common shingles of all pairs of a part are counted at once, and a pair
+   belongs to the least hub that both members have, so it is named once. Members carry their ``CARRY`` least hubs for that;
+   pairs of a member that has more are made distinct afterwards.
+   ``keep_one`` needs components only, so for it (``find_links``) pairs already connected within a hub are
    passed over, others are bounded by the sizes of parts of both sets (suffix filter) and verified at most once.
-   A hub of more than ``HUB`` members is dealt to salted parts that each hold the least member p. Members left unconnected to p
-   then meet all members that could link to them: those whose distance to p is at most 0.25 less, as Jaccard
+   There a hub of more than ``HUB`` members is dealt to salted parts that each hold the least member p. Members left unconnected
+   to p then meet all members that could link to them: those whose distance to p is at most 0.25 less, as Jaccard
    distance is a metric. These meet as pairs of blocks.
-4. Connected components by least labels and pointer jumping, in Spark, each round written to the shared folder.
+4. The links of a document are those of its class, weighted with class sizes, and its copies. Connected components by least labels and pointer jumping, in Spark, each round written to the shared folder.
 
 A task holds one hub part or pair of blocks; nothing of all documents reaches the driver but the sketch.
 
 Defined cases: null and empty texts have no shingles and link with nothing; rows of one doc_id are one document for the
-components; null ids are one id, smaller than all; an empty table gives no rows; extra columns pass through ``keep_one``.
+components, and its texts of different sets count each as a link; null ids are one id, smaller than all; an empty table gives no rows; extra columns pass through ``keep_one``.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streambed.llm.hashing import Words, mix, sequence_hashes
@@ -40,6 +44,12 @@ SKETCH = 1 << 20
 #: Members of a hub that one task takes.
 HUB = 2000
 PACK_POSTINGS = 1 << 19
+#: Least hubs of a member that tell which hub a pair belongs to.
+CARRY = 64
+#: Members of a part up to which pairs are tested one by one.
+FEW = 8
+#: Columns of a dense step, and postings of a sparse one, of counting common elements.
+DENSE, SPARSE = 1 << 12, 1 << 22
 #: Neighbours by size that a member of a shingle is bounded against; members of larger groups stay.
 NEAR = 16
 NULL_ID = -(1 << 63)
@@ -344,6 +354,161 @@ def find_links(docs: DataFrame, classes: DataFrame, sketch: np.ndarray) -> DataF
     return links.unionByName(materialize(verify(again, False), "links").select("a", "b"))
 
 
+def common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of some sets share; the diagonal is of no use.
+
+    Elements of many sets are counted by matrix products, the others by their pairs of holders.
+    """
+    m = len(sets)
+    counts = np.zeros((m, m), np.int32)
+    values, element, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    holder = np.repeat(np.arange(m), [len(x) for x in sets])
+    often = many > max(4, m // 16)
+    column = np.cumsum(often) - 1
+    use = often[element]
+    at, who = column[element[use]], holder[use]
+    order = np.argsort(at, kind="stable")
+    at, who = at[order], who[order]
+    for a in range(0, int(often.sum()), DENSE):
+        i, k = np.searchsorted(at, [a, a + DENSE])
+        some = np.zeros((m, min(DENSE, int(often.sum()) - a)), np.float32)
+        some[who[i:k], at[i:k] - a] = 1
+        counts += (some @ some.T).astype(np.int32)
+    use = ~often[element] & (many[element] > 1)
+    order = np.argsort(element[use], kind="stable")
+    element, holder = element[use][order], holder[use][order]
+    held: list[np.ndarray] = []
+
+    def add() -> None:
+        nonlocal counts, held
+        more = np.bincount(np.concatenate(held), minlength=m * m).reshape(m, m).astype(np.int32)
+        counts += more + more.T
+        held = []
+
+    for d in range(1, int(many[~often].max(initial=1))):
+        same = element[:-d] == element[d:]
+        held.append(holder[:-d][same] * m + holder[d:][same])
+        if sum(map(len, held)) > SPARSE:
+            add()
+    if held:
+        add()
+    return counts
+
+
+def all_pairs(sets: list[np.ndarray]) -> np.ndarray:
+    """Whether each two of some sets are similar, as a symmetric matrix; a set is not its own partner."""
+    m = len(sets)
+    if m <= FEW:
+        found = np.zeros((m, m), bool)
+        for i in range(m):
+            for k in range(i):
+                found[i, k] = found[k, i] = similar(sets[i], sets[k])
+        return found
+    size = np.array([len(x) for x in sets], np.int64)
+    found = common(sets).astype(np.int64) * (OVER + UNDER) >= OVER * (size[:, None] + size[None, :])
+    np.fill_diagonal(found, False)
+    return found
+
+
+def forest(found: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of a symmetric matrix that connect all that it connects."""
+    fresh = np.ones(len(found), bool)
+    out = []
+    for start in range(len(found)):
+        if not fresh[start]:
+            continue
+        fresh[start] = False
+        stack = [start]
+        while stack:
+            k = stack.pop()
+            new = np.flatnonzero(found[k] & fresh)
+            fresh[new] = False
+            out += [(k, x) for x in new.tolist()]
+            stack += new.tolist()
+    return out
+
+
+def _meet_all(parts: DataFrame) -> DataFrame:
+    """Similar pairs of each part (part, hub, node, block, one, weight, hubs, many, text), on the row of one member.
+
+    ``links`` sums the weights of a member's partners in ``partners`` of either row; pairs in ``again`` may be named
+    by other hubs as well and are not in ``links``; ``tree`` connects what the pairs of the part connect.
+    """
+    schema = "node long, links long, partners array<long>, again array<long>, tree array<long>"
+
+    def rows_of(hub: int, held: list[tuple]) -> list[tuple]:
+        nodes, sets = _of_part([(x[0], x[5]) for x in held])
+        about = {x[0]: x for x in held}
+        block, one, weight, many = (np.array([about[k][c] for k in nodes]) for c in (1, 2, 3, 6))
+        found = all_pairs(sets)
+        if not one.all():  # two blocks meet: pairs within one are found where it meets itself
+            found &= block[:, None] != block[None, :]
+        lower = [np.array([h for h in about[k][4] if h < hub], np.int64) for k in nodes]
+        if found.any() and any(map(len, lower)):
+            found &= common(lower) == 0
+        sure = found & ~(many[:, None] | many[None, :])
+        links = sure @ weight
+        tree: dict[int, list[int]] = {}
+        for i, k in forest(found):
+            tree.setdefault(i, []).append(nodes[k])
+        names = np.array(nodes, np.int64)
+        out = []
+        for i in np.flatnonzero(found.any(axis=1)).tolist():
+            mine, open_ = names[i + 1:][sure[i, i + 1:]], names[i + 1:][(found & ~sure)[i, i + 1:]] if many.any() else names[:0]
+            out.append((nodes[i], int(links[i]), mine, open_, tree.get(i, [])))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held, out = None, [], []
+
+        def flush() -> pa.RecordBatch:
+            nonlocal out
+            columns = list(zip(*out, strict=True)) or [()] * 5
+            out = []
+            lists = pa.list_(pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), lists, lists, lists), strict=True)], ["node", "links", "partners", "again", "tree"])
+
+        for batch in batches:
+            for part, hub, node, block, one, weight, hubs, many, text in zip(*(batch.column(c) for c in ("part", "hub", "node", "block", "one", "weight", "hubs", "many", "text")), strict=True):
+                now = part.as_py(), hub.as_py()
+                if now != last:
+                    if held:
+                        out += rows_of(last[1], held)
+                        if len(out) > HUB:
+                            yield flush()
+                    last, held = now, []
+                held.append((node.as_py(), block.as_py(), one.as_py(), weight.as_py(), hubs.as_py(), (text.as_py() or "").encode(), many.as_py()))
+        if held:
+            out += rows_of(last[1], held)
+        yield flush()
+
+    return parts.sortWithinPartitions("hub", "part").select("part", "hub", "node", "block", "one", "weight", "hubs", "many", "text").mapInArrow(run, schema)
+
+
+def find_pairs(docs: DataFrame, classes: DataFrame, sketch: np.ndarray) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Steps 2 and 3 for all pairs: every similar pair (a, b) of classes once, those (a, b) of them that connect all that is
+    connected, and (node, links) of the classes that have partners: the documents in them."""
+    n = buckets(docs.sparkSession)
+    met = materialize(find_meetings(docs, sketch), "meetings")
+    sizes = met.groupBy("hub").agg(F.count("*").alias("members")).where("members > 1")
+    carried = met.groupBy("node").agg(F.sort_array(F.collect_list("hub")).alias("hubs")).select("node", F.slice("hubs", 1, CARRY).alias("hubs"), (F.size("hubs") > CARRY).alias("many"))
+    held = classes.where("n_shingles > 0").groupBy("node", "doc").agg(F.min("key").alias("key"))
+    one = materialize(held.groupBy("node").agg(F.min(F.struct("doc", "key")).alias("at"), F.count("*").alias("weight")).select("node", "at.doc", "at.key", "weight"), "weights")
+    blocks = F.when(F.col("members") > HUB, F.ceil(F.col("members") * 2 / HUB)).otherwise(1).cast("int")
+    dealt = met.join(sizes, "hub").join(carried, "node").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
+    texts = dealt.join(one, "node").join(docs.select("doc", "key", "text").dropDuplicates(["doc", "key"]), ["doc", "key"])
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.least(k, F.col("block")) * F.col("blocks") + F.greatest(k, F.col("block")))
+    parts = texts.withColumn("part", F.explode(pairs)).withColumn("one", F.expr("part div blocks = part % blocks"))
+    found = materialize(_meet_all(parts.repartition(n, "hub", "part")), "pairs")
+    order = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    again = materialize(found.where("size(again) > 0").select(F.col("node").alias("a"), F.explode("again").alias("b")).select(*order).distinct(), "pairs")
+    pairs = found.select(F.col("node").alias("a"), F.explode("partners").alias("b")).select(*order).unionByName(again)
+    other = one.select(F.col("node").alias("b"), F.col("weight").alias("links"))
+    ways = again.unionByName(again.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    links = found.select("node", "links").unionByName(ways.join(other, "b").select(F.col("a").alias("node"), "links")).groupBy("node").agg(F.sum("links").alias("links"))
+    return pairs, found.select(F.col("node").alias("a"), F.explode("tree").alias("b")), links
+
+
 def components(links: DataFrame) -> DataFrame:
     """Least reachable id of every linked id: (id, component)."""
     edges = materialize(links.select(F.col("a").alias("id"), F.col("b").alias("other")).where("id <> other").unionByName(links.select(F.col("b").alias("id"), F.col("a").alias("other")).where("id <> other")).distinct(), "edges")
@@ -363,22 +528,46 @@ def _named(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
-    named = _named(docs)
-    classes, sketch = name_classes(named)
+def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of ``classes`` with the component that ``links`` between classes give their document."""
     least = classes.where("n_shingles > 0").groupBy("node").agg(F.min("doc").alias("least"))
-    links = find_links(named, classes, sketch)
     ids = links.join(least.select(F.col("node").alias("a"), F.col("least").alias("x")), "a").join(least.select(F.col("node").alias("b"), F.col("least").alias("y")), "b")
     found = components(ids.select(F.col("x").alias("a"), F.col("y").alias("b")))
     # Rows of one id are one document: its classes share a component.
     whole = least.join(found, F.col("least") == F.col("id"), "left").select("node", F.coalesce("component", "least").alias("component"))
-    rows = classes.join(whole, "node", "left")
-    real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
-    return rows.select(real("doc").alias("doc_id"), "n_shingles", F.coalesce("component", "doc").alias("component")).withColumn("component_id", real("component")).drop("component")
+    return classes.join(whole, "node", "left").withColumn("component", F.coalesce("component", "doc"))
+
+
+def _real(column: str) -> Column:
+    return F.when(F.col(column) != NULL_ID, F.col(column))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and n_links, the number of other documents that link with it, of every row."""
+    named = _named(docs)
+    classes, sketch = name_classes(named)
+    _, tree, links = find_pairs(named, classes, sketch)
+    copies = classes.where("n_shingles > 0").groupBy("node", "doc").count().groupBy("node").agg((F.count("*") - 1).alias("copies"))
+    rows = _labelled(classes, tree).join(copies, "node", "left").join(links, "node", "left")
+    n_links = F.when(F.col("n_shingles") > 0, F.col("copies") + F.coalesce("links", F.lit(0))).otherwise(0)
+    return rows.select(_real("doc").alias("doc_id"), "n_shingles", _real("component").alias("component_id"), n_links.alias("n_links"))
+
+
+def similar_pairs(docs: DataFrame) -> DataFrame:
+    """Every pair (a, b), a < b, of ids of documents that link, once; copies make as many pairs as they are."""
+    named = _named(docs)
+    classes, sketch = name_classes(named)
+    pairs, _, _ = find_pairs(named, classes, sketch)
+    held = classes.where("n_shingles > 0").select("node", "doc").distinct()
+    x, y = (held.select(F.col("node").alias(c), F.col("doc").alias(d)) for c, d in (("a", "x"), ("b", "y")))
+    both = pairs.join(x, "a").join(y, "b").select("x", "y").unionByName(x.join(y, F.col("a") == F.col("b")).select("x", "y"))
+    return both.where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct().select(_real("x").alias("a"), _real("y").alias("b"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents, with all their columns, that are the least of their component."""
-    go = near_duplicates(docs).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    named = _named(docs)
+    classes, sketch = name_classes(named)
+    rows = _labelled(classes, find_links(named, classes, sketch))
+    go = rows.where("doc <> component").select(_real("doc").alias("doc_id")).distinct()
     return docs.join(go, "doc_id", "left_anti").select(*docs.columns)

@@ -56,7 +56,8 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    """The columns that its SQL names; ``near_duplicates`` has the number of links as well."""
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,3 +93,40 @@ def test_groups_cut_by_length():
     for k, new in enumerate(j._groups(shingle, size)):
         by[bool(new)].append(k)
     assert by[True] == [0, 2, 3]
+
+
+@pytest.mark.parametrize(("seed", "hub", "carry"), [(1, 2000, 64), (2, 4, 64), (3, 3, 1)])
+def test_every_link_is_found_once_and_counted(spark, monkeypatch, seed, hub, carry):
+    monkeypatch.setattr(j, "HUB", hub)
+    monkeypatch.setattr(j, "CARRY", carry)
+    rows = [r for r in fixture(seed, 90) if r[0] is not None]
+    base = [f"w{i}" for i in range(120)]
+    rows += [(4_000_000 + i, " ".join(base[:i] + [f"x{i}"] + base[i + 1:]), "g", 0) for i in range(0, 120, 6)]  # a group where all link
+    sets = {d: shingles(t) for d, t, *_ in rows}
+    want = {(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node string, part int").repartition(5)
+    got = [(r.a, r.b) for r in j.similar_pairs(docs).collect()]
+    assert len(want) >= 190 and len(got) == len(want) and set(got) == want
+    many = defaultdict(int)
+    for pair in want:
+        for d in pair:
+            many[d] += 1
+    assert {r.doc_id: r.n_links for r in j.near_duplicates(docs).collect()} == {d: many[d] for d in sets}
+    roots = {d: c for d, _, c in brute(rows)}
+    assert sorted(r.doc_id for r in j.keep_one(docs).collect()) == sorted(d for d in sets if roots[d] == d)
+
+
+def test_common_counts_and_forest():
+    import numpy as np
+    rng = random.Random(5)
+    for m in (2, 9, 40, 130):
+        base = rng.sample(range(10 ** 6), 300)
+        sets = [set(rng.sample(base, rng.randint(0, 300))) | set(rng.sample(range(400), 20)) for _ in range(m)]
+        arrays = [np.array(sorted(s), np.uint64) for s in sets]
+        got = j.common(arrays)
+        assert all(got[i, k] == len(sets[i] & sets[k]) for i in range(m) for k in range(m) if i != k)
+        found = j.all_pairs(arrays)
+        assert all(found[i, k] == (100 * len(sets[i] & sets[k]) >= 75 * len(sets[i] | sets[k])) for i in range(m) for k in range(m) if i != k)
+    chain = np.zeros((6, 6), bool)
+    chain[0, 3] = chain[3, 0] = chain[3, 5] = chain[5, 3] = chain[0, 5] = chain[5, 0] = chain[1, 2] = chain[2, 1] = True
+    assert len(j.forest(chain)) == 3 and {frozenset(p) for p in j.forest(chain)} <= {frozenset(p) for p in ((0, 3), (0, 5), (3, 5), (1, 2))}
