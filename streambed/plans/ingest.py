@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -31,27 +32,34 @@ class IngestConf:
     max_bytes: int = MAX_BYTES
 
 
-def flush_batch(decoded: DataFrame, conf: IngestConf, batch_id: int) -> dict[str, int]:
+def flush_batch(decoded: DataFrame, conf: IngestConf, batch_id: int) -> Counter[str]:
     """Write one decoded, deduplicated batch: rejects, segments, manifest; return counts.
 
+    Rows that a column ``duplicate`` marks are counted as ``duplicates``, if there are any, and not written.
+
     A batch whose manifest is there is complete and stays as it is; its rows are only counted,
     which also lets a stream that repeats it commit its state.
 
     The batch is read by three writes, so it is kept for their duration, sorted inside
     each task so that a recomputed partition labels its rows the same way.
     """
+    if "duplicate" not in decoded.columns:
+        decoded = decoded.withColumn("duplicate", F.lit(False))
     order = [c for c in ("arrival", "event_id", "payload") if c in decoded.columns]
     held = decoded.sortWithinPartitions(*order).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = F.col("reason").isNull()
         totals = held.agg(
-            F.count(F.when(good, 1)).alias("flushed"),
+            F.count(F.when(good & ~F.col("duplicate"), 1)).alias("flushed"),
             F.count(F.when(~good, 1)).alias("rejected"),
+            F.count(F.when(good & F.col("duplicate"), 1)).alias("duplicates"),
         ).head()
-        counts = {"flushed": totals.flushed, "rejected": totals.rejected}
+        counts = Counter(flushed=totals.flushed, rejected=totals.rejected)
+        if totals.duplicates:
+            counts["duplicates"] = totals.duplicates
         if committed(held.sparkSession, conf.root, conf.instance, batch_id) is not None:
             return counts
-        events, rejects = split_rejects(held)
+        events, rejects = split_rejects(held.where(~good | ~F.col("duplicate")).drop("duplicate"))
         if totals.rejected:
             write_rejects(rejects, conf.root, conf.instance, batch_id)
         if totals.flushed:  # last, as its manifest says that the batch is complete
@@ -62,7 +70,7 @@ def flush_batch(decoded: DataFrame, conf: IngestConf, batch_id: int) -> dict[str
         held.unpersist()
 
 
-def ingest_batch(messages: DataFrame, conf: IngestConf, batch_id: int = 0) -> dict[str, int]:
+def ingest_batch(messages: DataFrame, conf: IngestConf, batch_id: int = 0) -> Counter[str]:
     """Run a bounded set of messages (with ``arrival``) through the whole ingest.
 
     Messages are decoded twice: once for ids and times, which decide what is kept, once
@@ -76,5 +84,5 @@ def ingest_batch(messages: DataFrame, conf: IngestConf, batch_id: int = 0) -> di
             kept_keys(valid, ["event_id"], "arrival", "timestamp", conf.dedup_window_s), "kept"
         ).withColumn("__kept", F.lit(True))
         marked = match(decoded, keys, ["event_id", "arrival"], "left")
-        kept = marked.where(F.col("reason").isNotNull() | F.col("__kept").isNotNull()).drop("__kept")
+        kept = marked.withColumn("duplicate", F.col("reason").isNull() & F.col("__kept").isNull()).drop("__kept")
     return flush_batch(kept, conf, batch_id)

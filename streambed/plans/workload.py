@@ -335,18 +335,28 @@ def batch_bytes(spark, sf_dir):
 
 
 def _batches(spark, sf_dir):
-    """Per day: accepted, duplicates within the hour and rejected messages."""
+    """Per thousand arrivals: accepted, duplicates within the hour and rejected messages."""
     decoded = decode.decode_events(inputs.messages(spark, sf_dir))
-    return decoded.groupBy(F.floor(F.col("arrival") / 1000).alias("batch")).agg(
-        F.count(F.when(F.col("reason").isNull(), 1)).alias("accepted"),
-        F.lit(0).cast("long").alias("duplicates"),
+    batch = F.floor(F.col("arrival") / 1000).alias("batch")
+    taken = decoded.groupBy(batch).agg(
+        F.count(F.when(F.col("reason").isNull(), 1)).alias("valid"),
         F.count("reason").alias("rejected"),
     )
+    valid = decode.split_rejects(decoded)[0]
+    kept = dedup.kept_keys(valid, ["event_id"], "arrival", "timestamp", HOUR).groupBy(batch).agg(F.count("*").alias("kept"))
+    return taken.join(kept, "batch", "left").select(
+        "batch", F.coalesce("kept", F.lit(0)).alias("accepted"),
+        (F.col("valid") - F.coalesce("kept", F.lit(0))).alias("duplicates"), "rejected",
+    )
+
+
+def _kept_events(spark, sf_dir):
+    return dedup.dedup_batch(_events(spark, sf_dir), ["event_id"], "arrival", "timestamp", HOUR)
 
 
 def _packed_manifest(spark, sf_dir):
     packed = packing.pack_segments(
-        _events(spark, sf_dir), ["partition"], "arrival", max_rows=500, max_bytes=60_000, block_rows=2000
+        _kept_events(spark, sf_dir), ["partition"], "arrival", max_rows=500, max_bytes=60_000, block_rows=2000
     )
     return packed.groupBy("partition", "seg_no").agg(
         F.count("*").alias("event_count"), F.sum(F.octet_length("payload") + 1).alias("size_bytes")
@@ -458,9 +468,9 @@ def histogram_quantile(spark, sf_dir):
     return found.select("stage", "prob", F.round("quantile", 6).alias("quantile"))
 
 
-def _report_parts(spark, sf_dir):
+def _report_parts(spark, sf_dir, read=_events):
     """Buffered: the last flush interval of an hour; rate: the last full second."""
-    events = _events(spark, sf_dir)
+    events = read(spark, sf_dir)
     last = events.agg(F.max("timestamp").alias("t"))
     waiting = events.where(F.col("timestamp") > last.scalar() - F.lit(HOUR))
     rate = events.where(F.col("timestamp") == last.scalar()).agg(F.count("*").alias("events_per_sec"))
@@ -475,7 +485,7 @@ def health_report(spark, sf_dir):
 
 @query
 def metrics_report(spark, sf_dir):
-    events, sizes, rate = _report_parts(spark, sf_dir)
+    events, sizes, rate = _report_parts(spark, sf_dir, _kept_events)
     counters = accounting.ingest_counters(_batches(spark, sf_dir), _packed_manifest(spark, sf_dir))
     live = accounting.live_ids(events, ["event_id"], NOW, 300)
     flushed = events.agg((F.lit(NOW + 30 * 86_400) - F.max("timestamp")).cast("double").alias("last_flush_ago_s"))
