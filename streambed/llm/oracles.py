@@ -74,9 +74,111 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
 FROM worded LEFT JOIN hits USING (doc_id) LEFT JOIN held USING (doc_id)"""
 
+def _codes(rounds: int = 2) -> str:
+    """Lloyd's rounds one after another, every part against every entry."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+near{k} AS MATERIALIZED (
+    SELECT rid, p, min(CAST(list_sum(list_transform(range(1, len(v.x) + 1), lambda i: (v.x[i] - b.x[i]) * (v.x[i] - b.x[i]))) AS BIGINT) * 64 + e) AS best
+    FROM parts v JOIN book{k} b USING (p) GROUP BY rid, p)""")
+        if k < rounds:
+            steps.append(f"""
+means{k} AS (
+    SELECT p, e, list(m ORDER BY i) AS x
+    FROM (SELECT p, best % 64 AS e, i, CAST(floor(sum(x[i]) / count(*)) AS BIGINT) AS m
+          FROM near{k} JOIN parts USING (rid, p), (SELECT unnest(range(1, (SELECT max(len(x)) FROM parts) + 1)) AS i) GROUP BY p, e, i) GROUP BY p, e),
+book{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(m.x, b.x) AS x FROM book{k} b LEFT JOIN means{k} m USING (p, e))""")
+    return f"""
+WITH whole AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+    FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT rid, p, c[p * (len(c) // 16) + 1:(p + 1) * (len(c) // 16)] AS x FROM whole, (SELECT unnest(range(16)) AS p)),
+book0 AS MATERIALIZED (
+    SELECT p, e, x FROM parts JOIN (SELECT rid, row_number() OVER (ORDER BY vec_id NULLS LAST, c) - 1 AS e FROM whole) USING (rid) WHERE e < 64),
+{",".join(steps)},
+coded AS (
+    SELECT rid, string_agg(printf('%02x', best % 64), '' ORDER BY p) AS code, CAST(sum(best // 64) AS BIGINT) AS error FROM near{rounds} GROUP BY rid),
+digest AS (
+    SELECT sha256(string_agg(CAST(x[i] AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256
+    FROM (SELECT p, e, x, unnest(range(1, len(x) + 1)) AS i FROM book{rounds}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM whole JOIN coded USING (rid), digest"""
+
+
+def _manifest(levels: int = 8) -> str:
+    """One step per level; eight levels hold 16 million leaves a language and as many languages."""
+    def field(name: str, value: str = "") -> str:
+        text = f"CAST({value or name} AS VARCHAR)"
+        return f"CASE WHEN {name} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END"
+
+    def climb(sign: str) -> str:
+        steps = []
+        for k in range(levels):
+            run = "PARTITION BY tree, pos // 8 ORDER BY pos ROWS BETWEEN"
+            steps.append(f"""
+{sign}side{k} AS (
+    SELECT tree, pos, n, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS ahead,
+           coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS behind FROM {sign}n{k}),
+{sign}n{k + 1} AS MATERIALIZED (
+    SELECT tree, pos // 8 AS pos, any_value((n + 7) // 8) AS n, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h
+    FROM {sign}n{k} GROUP BY tree, pos // 8)""")
+        return ",".join(steps)
+
+    def chain(sign: str, source: str) -> str:
+        """One CTE per level, so that the folded digest is named once."""
+        steps, before = [], source
+        for k in range(levels):
+            steps.append(f"""
+{sign}f{k} AS MATERIALIZED (
+    SELECT f.* EXCLUDE (folded, proof), proof || ahead || behind AS proof, CASE WHEN n > 1 THEN sha256(ahead || folded || behind) ELSE folded END AS folded
+    FROM {before} f JOIN {sign}side{k} s ON s.tree = f.{sign}tree AND s.pos = f.{sign}at // {8 ** k})""")
+            before = f"{sign}f{k}"
+        return ",".join(steps)
+
+    leaf = "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+    forged = "sha256(" + " || ".join([*(field(c) for c in ("doc_id", "source", "lang", "n_chars")), field("text", _LOW.format("text"))]) + ")"
+    digits = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ord(d) AS BIGINT))"
+    crc = (f"xor(4294967295, list_reduce({digits}, lambda c, b: list_reduce(range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(c, b)), CAST(4294967295 AS BIGINT)))")
+    return f"""
+WITH leaves AS MATERIALIZED (
+    SELECT doc_id, coalesce('1' || lang, '0') AS tree, {leaf} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {forged} END AS forged FROM documents),
+placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+n0 AS (SELECT tree, pos, n, leaf AS h FROM placed),{climb("")},
+cn0 AS MATERIALIZED (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n, h, tree AS name FROM n{levels}),{climb("c")},
+started AS (SELECT doc_id, tree, pos AS at, leaf, coalesce(forged, leaf) AS folded, '' AS proof FROM placed),{chain("", "started")},
+crowned AS (SELECT f.*, '' AS ctree, c.pos AS cat, c.h AS subroot FROM f{levels - 1} f JOIN cn0 c ON c.name = f.tree),{chain("c", "crowned")}
+SELECT doc_id, leaf, subroot, (SELECT h FROM cn{levels}) AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = (SELECT h FROM cn{levels}) AS verified
+FROM cf{levels - 1}"""
+
+
+_MIX = r"""
+WITH sized AS (
+    SELECT row_number() OVER () AS rid, doc_id, coalesce('0' || source, '1') AS source_key, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+           md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS shuffle FROM documents),
+sources AS (SELECT source_key, CAST(sum(size) AS BIGINT) AS source_size, CAST([5, 2, 1][(row_number() OVER (ORDER BY source_key) - 1) % 3 + 1] AS BIGINT) AS w FROM sized GROUP BY source_key),
+-- A source stops once its size for its weight is small; with the k smallest stopped, the others share what is left.
+ranked AS (SELECT *, row_number() OVER (ORDER BY source_size / w, source_key) AS k FROM sources),
+rest AS (
+    SELECT k, sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS words,
+           sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight, 3 * source_size AS most, w FROM ranked),
+level AS (SELECT CAST(words AS BIGINT) AS words, CAST(weight AS BIGINT) AS weight FROM rest WHERE w * words <= most * weight ORDER BY k LIMIT 1),
+figures AS (
+    SELECT source_key, source_size,
+           CASE WHEN w * words > 3 * source_size * weight THEN CAST(3 * source_size AS DOUBLE) ELSE CAST(w * words AS DOUBLE) / weight END AS target,
+           CASE WHEN w * words > 3 * source_size * weight THEN 3 * source_size ELSE (w * words) // weight END AS quota
+    FROM sources, level),
+laid AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source_key ORDER BY shuffle, doc_id, size, rid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM sized)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(list_sum(list_transform([0, 1, 2], lambda r: greatest(0, least(r * source_size + ahead + size, quota) - (r * source_size + ahead)))) AS BIGINT) AS taken
+FROM laid JOIN figures USING (source_key)"""
+
 ORACLES: dict[str, str] = {
     "op6_warc_index": _WARC,
     "op7_chat_formatting": _CHAT,
     "op8_ngram_jaccard_join": _JOIN,
     "op9_benchmark_decontamination": _BENCHMARK,
+    "op11_cover_tree_codes": _codes(),
+    "op12_merkle_manifest": _manifest(),
+    "op13_source_mixing": _MIX,
 }

@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from streambed.llm.chat import chat_digest
+from streambed.llm.codes import codes_digest
 from streambed.llm.decontaminate import decontamination_digest
 from streambed.llm.fingerprints import fingerprint_edits
+from streambed.llm.merkle import manifest_digest
+from streambed.llm.mixing import mixing_digest
 from streambed.llm.ngram_join import near_duplicates
 from streambed.llm.oracles import ORACLES
 from streambed.llm.packing import packing_digest
@@ -68,6 +71,18 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_cover_tree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes_digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_digest(table(spark, sf_dir, "documents"))
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_digest(table(spark, sf_dir, "documents"))
+
+
 __all__ = ["ORACLES", "QUERIES", "tokenizer_path"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -81,4 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_kd_sharding": op10_kd_sharding,
+    "op11_cover_tree_codes": op11_cover_tree_codes,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_source_mixing": op13_source_mixing,
 }
