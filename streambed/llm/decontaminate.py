@@ -2,8 +2,8 @@
 
 An item's windows are its runs of 13 words; an item of fewer words is one window. All windows of
 one length are searched together: a block of the window's last two words looks up how far the
-search may skip; where it may not, the same block selects the few windows that end so, and a
-direct comparison of the words decides. Documents are scanned where they are read; there is no
+search may skip; where it may not, the same block selects the few windows that end so. The
+words' values thin these out and a direct comparison of the words' bytes decides. Documents are scanned where they are read; there is no
 shuffle. The benchmark is cut into blocks of at most ``BLOCK_BYTES`` of text, each broadcast on its
 own and searched in one more pass over the rows, so a large benchmark costs passes, not memory.
 
@@ -101,21 +101,45 @@ class WuManber:
         return np.concatenate(places), np.concatenate(found)
 
 
+def word_bytes(words: Words, first: int, count: int) -> tuple[list[int], bytes]:
+    """What makes a run of words equal to another: their lengths and their bytes."""
+    spans = list(zip(words.starts[first:first + count].tolist(), words.ends[first:first + count].tolist(), strict=True))
+    return [e - b for b, e in spans], b"".join(words.low[b:e].tobytes() for b, e in spans)
+
+
 class Benchmark:
-    """One block of items: a searcher per window length and the items of each window."""
+    """One block of items: a searcher per window length, and per window its place in the items and their ids."""
 
     def __init__(self, items: list[tuple[str, str]]):
-        windows: dict[int, dict[bytes, set[str]]] = defaultdict(lambda: defaultdict(set))
-        for item, text in items:
-            data = np.frombuffer(text.encode(), np.uint8)
-            words = Words(data, np.array([0, len(data)]), "alnum").hashes
-            m = min(WINDOW_WORDS, len(words))
-            for i in range(len(words) - m + 1) if m else ():
-                windows[m][words[i:i + m].tobytes()].add(item)
+        texts = [text.encode() for _, text in items]
+        offsets = np.cumsum([0, *map(len, texts)])
+        self.words = words = Words(np.frombuffer(b"".join(texts), np.uint8), offsets, "alnum")
+        windows: dict[int, dict[bytes, list[tuple[int, set[str]]]]] = defaultdict(dict)
+        for k, (item, _) in enumerate(items):
+            begin, end = int(words.first[k]), int(words.first[k + 1])
+            m = min(WINDOW_WORDS, end - begin)
+            for i in range(begin, end - m + 1) if m else ():
+                alike = windows[m].setdefault(words.hashes[i:i + m].tobytes(), [])
+                # Windows of equal values are one only if their words are.
+                owners = next((o for at, o in alike if word_bytes(words, at, m) == word_bytes(words, i, m)), None)
+                if owners is None:
+                    alike.append((i, owners := set()))
+                owners.add(item)
         self.searches = []
         for m, found in sorted(windows.items()):
-            patterns = np.frombuffer(b"".join(found), np.uint64).reshape(-1, m)
-            self.searches.append((WuManber(patterns), [sorted(x) for x in found.values()]))
+            rows = [(key, at, sorted(owners)) for key, alike in found.items() for at, owners in alike]
+            patterns = np.frombuffer(b"".join(key for key, _, _ in rows), np.uint64).reshape(-1, m)
+            self.searches.append((WuManber(patterns), [at for _, at, _ in rows], [owners for _, _, owners in rows]))
+
+    def _confirmed(self, words: Words, places: np.ndarray, patterns: np.ndarray, firsts: list[int], m: int) -> np.ndarray:
+        """Which occurrences have the very words of their window."""
+        known: dict[int, tuple[list[int], bytes]] = {}
+        out = np.zeros(len(places), bool)
+        for k, (place, pattern) in enumerate(zip(places.tolist(), patterns.tolist(), strict=True)):
+            if pattern not in known:
+                known[pattern] = word_bytes(self.words, firsts[pattern], m)
+            out[k] = word_bytes(words, place, m) == known[pattern]
+        return out
 
     def scan(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, dict[int, list[int]], dict[int, set[str]]]:
         """Words per text; for texts with occurrences the hit word ranges, flat, and the items."""
@@ -123,9 +147,11 @@ class Benchmark:
         hits: dict[int, list[int]] = {}
         items: dict[int, set[str]] = defaultdict(set)
         ranges = []
-        for search, owners in self.searches:
+        for search, firsts, owners in self.searches:
             place, pattern = search.find(words.hashes, words.first)
             if len(place):
+                real = self._confirmed(words, place, pattern, firsts, search.m)
+                place, pattern = place[real], pattern[real]
                 ranges.append((place, place + search.m))
                 text = np.searchsorted(words.first, place, "right") - 1
                 for t, p in set(zip(text.tolist(), pattern.tolist(), strict=True)):

@@ -47,8 +47,9 @@ edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
 reached(doc_id, root) AS (
     SELECT doc_id, doc_id FROM sizes
     UNION SELECT edges.y, reached.root FROM reached JOIN edges ON edges.x = reached.doc_id WHERE reached.root < edges.y)
-SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(r.root, d.doc_id) AS component_id
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(r.root, d.doc_id) AS component_id, coalesce(e.n, 0) AS n_links
 FROM documents d LEFT JOIN sizes s USING (doc_id)
+LEFT JOIN (SELECT x AS doc_id, count(*) AS n FROM edges GROUP BY x) e USING (doc_id)
 LEFT JOIN (SELECT doc_id, min(root) AS root FROM reached GROUP BY doc_id) r USING (doc_id)"""
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"

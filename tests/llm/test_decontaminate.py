@@ -68,3 +68,26 @@ def test_search_skips():
     rng = np.random.default_rng(1)
     search = d.WuManber(rng.integers(1, 2 ** 60, (50, 13)).astype(np.uint64))
     assert (search.shift == 12).mean() > 0.8
+
+
+def twisted(n=1024):
+    """Two words that every sum of byte values times powers of one number, modulo 2^64, takes for one."""
+    first = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return first, first.translate(str.maketrans("ab", "ba"))
+
+
+def test_other_words_are_no_hit(spark, monkeypatch):
+    one, other = twisted()
+    docs = spark.createDataFrame([(1, one), (2, f"x {other} y"), (3, one[:1000] + "c" * 1_000_000)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, one), (8, "c" * 1_000_000)], "item_id long, text string")
+    rows = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in d.decontamination_digest(docs, bench).collect()}
+    assert rows == {1: (1, 1, True), 2: (0, 0, False), 3: (0, 0, False)}
+    # Values that are equal by chance: the bytes decide, and such windows keep their own items.
+    made = d.Words
+    monkeypatch.setattr(d, "Words", lambda *a: (w := made(*a), setattr(w, "hashes", w.hashes % np.uint64(2)))[0])
+    block = d.Benchmark([("a", "p q"), ("b", "r s"), ("c", "p Q"), ("d", "pq")])
+    data = np.frombuffer(b"p q r s pq t p", np.uint8)
+    _, hits, items = block.scan(data, np.array([0, len(data)]))
+    assert dict(items) == {0: {"a", "b", "c", "d"}} and hits == {0: [0, 5]}
+    data = np.frombuffer(b"q p s r t", np.uint8)
+    assert block.scan(data, np.array([0, len(data)]))[1:] == ({}, {})

@@ -130,3 +130,29 @@ def test_common_counts_and_forest():
     chain = np.zeros((6, 6), bool)
     chain[0, 3] = chain[3, 0] = chain[3, 5] = chain[5, 3] = chain[0, 5] = chain[5, 0] = chain[1, 2] = chain[2, 1] = True
     assert len(j.forest(chain)) == 3 and {frozenset(p) for p in j.forest(chain)} <= {frozenset(p) for p in ((0, 3), (0, 5), (3, 5), (1, 2))}
+
+
+def test_words_of_equal_sums_are_two_words(spark):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, one), (2, other), (3, "y" * 1_000_000), (4, "y" * 999_999 + "z"), (5, "y" * 1_000_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.component_id, r.n_links) for r in j.near_duplicates(docs).collect()}
+    assert got == {1: (1, 0), 2: (2, 0), 3: (3, 1), 4: (4, 0), 5: (3, 1)}
+
+
+def test_word_hashes_are_of_the_bytes_alone():
+    import numpy as np
+
+    from streambed.llm.hashing import LANE_BYTES, Words
+    rng = random.Random(3)
+    words = ["".join(rng.choice("ab") for _ in range(n)) for n in [*range(1, 40), 255, 256, 257, 300, 5000] for _ in range(4)]
+    words += ["a" * n for n in range(1, 2 * LANE_BYTES)] + ["\0" * n for n in range(1, 40)]
+    seen = {}
+    for _ in range(3):
+        rng.shuffle(words)
+        data = np.frombuffer(" ".join(words).encode(), np.uint8)
+        hashes = Words(data, np.array([0, len(data)]), "space").hashes.tolist()
+        for w, h in zip(words, hashes, strict=True):
+            assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(seen)
