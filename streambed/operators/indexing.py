@@ -12,6 +12,10 @@ from .decode import parse_index_fields
 from .routing import assign_shards
 
 
+#: The error of lines whose segment was not listed; such a segment has no result in its cycle.
+UNLISTED = "not listed"
+
+
 def with_byte_ranges(lines: DataFrame) -> DataFrame:
     """Add ``start_byte`` and ``end_byte`` (newline excluded) to the lines of segments.
 
@@ -48,11 +52,15 @@ def index_lines(lines: DataFrame, num_shards: int, strict_reference: bool = Fals
     return entries_of(with_byte_ranges(parsed), num_shards)
 
 
-def segment_results(parsed: DataFrame, max_line_bytes: int | None = None) -> DataFrame:
+def segment_results(parsed: DataFrame, max_line_bytes: int | None = None, listing: DataFrame | None = None) -> DataFrame:
     """Per segment the indexed, malformed and skipped lines, and an error if it failed.
 
     Lines may have any length unless ``max_line_bytes`` is given: a segment with a longer
     one then fails as a whole. A failed segment indexes nothing.
+
+    ``listing`` (``bucket, key, size``) is what should have been read. Every segment of it has a result: an empty one
+    indexes nothing and succeeds; one whose lines do not make up its size could not be read to its end. Lines
+    of a segment that was not listed, as it came in between, are marked ``UNLISTED`` and belong to a later cycle.
     """
     of = lambda status: F.sum(F.when(F.col("status") == status, 1).otherwise(0))
     too_long = (
@@ -63,7 +71,20 @@ def segment_results(parsed: DataFrame, max_line_bytes: int | None = None) -> Dat
     counted = parsed.groupBy("bucket", "key").agg(
         of("ok").alias("__ok"), of("malformed").alias("malformed"),
         of("skipped").alias("skipped"), too_long.alias("error"),
+        F.sum(F.col("line_bytes") + 1).alias("__read"),
     )
+    if listing is not None:
+        counted = listing.select("bucket", "key", "size").join(counted, ["bucket", "key"], "full").withColumns({
+            n: F.coalesce(n, F.lit(0)) for n in ("__ok", "malformed", "skipped", "__read")
+        })
+        # The last line may lack its newline.
+        short = ~(F.col("__read") - F.col("size")).isin(0, 1)
+        counted = counted.withColumn(
+            "error",
+            F.when(F.col("size").isNull(), UNLISTED)
+            .when(short, F.concat(F.lit("unreadable: "), F.least("__read", "size").cast("string"), F.lit(" of "), F.col("size").cast("string"), F.lit(" bytes read")))
+            .otherwise(F.col("error")),
+        )
     return counted.select(
         "bucket", "key",
         F.when(F.col("error").isNull(), F.col("__ok")).otherwise(F.lit(0)).alias("indexed"),

@@ -11,11 +11,12 @@ from ..functions.keys import parse_segment_key
 from ..functions.sharding import shard_of
 from ..functions.times import lenient_seconds, strict_seconds
 from ..operators import accounting, decode, dedup, indexing, packing, quantiles, routing
+from .. import storage
 from ..session import prepare, shared_dir
 from ..sinks import index as index_sink
 from ..sinks.segments import label_by_task, write_rejects, write_segments
 from ..sources.messages import read_messages
-from ..sources.segments import list_segments, read_segment_lines
+from ..sources.segments import list_segments, manifest_listing, read_segment_lines
 from ..sources.staged import reload_staged
 from ..streaming.dedup import dedup_stream, drained
 from ..streaming.jobs import run_index, run_ingest
@@ -172,8 +173,8 @@ def cursor_merge(spark, sf_dir):
     moved = indexing.advance_cursors(inputs.cycle_results(spark, sf_dir)).where("bucket < 'events-4'")
     old = inputs.cycle_results(spark, sf_dir).groupBy("bucket").agg(F.min("key").alias("last_key"))
     root = shared_dir(spark, "cursors")
-    index_sink.save_cursors(old, root, 1)
-    index_sink.save_cursors(indexing.merge_cursors(old, moved), root, 2)
+    index_sink.save_cursors(old, root)
+    index_sink.save_cursors(indexing.merge_cursors(old, moved), root)
     return index_sink.load_cursors(spark, root)[1]
 
 
@@ -305,7 +306,74 @@ def segment_manifest(spark, sf_dir):
     ).withColumn("segment", F.concat_ws("-", "partition", "seg_no"))
     root = shared_dir(spark, "segments")
     manifest = write_segments(packed, 7, root, "w0", flush_ts=1_704_067_200, gather=True)
-    return manifest.select("key", "instance_id", "segment_id", "event_count", "batch_id", "flush_ts", "size_bytes")
+    folder = F.regexp_replace("key", "/part-[^/]*$", "")  # the file's own name is Spark's
+    return manifest.select(folder.alias("key"), "instance_id", "segment_id", "event_count", "batch_id", "flush_ts", "size_bytes")
+
+
+def _packed_segments(spark, sf_dir) -> str:
+    """Segments of deterministic content below a new root, as ``segment_manifest`` writes them."""
+    packed = packing.pack_segments(
+        _events(spark, sf_dir), ["partition"], "arrival", max_rows=500, max_bytes=60_000, block_rows=2000
+    ).withColumn("segment", F.concat_ws("-", "partition", "seg_no"))
+    root = shared_dir(spark, "segments")
+    write_segments(packed, 7, root, "w0", flush_ts=1_704_067_200, gather=True)
+    return root
+
+
+@query
+def manifest_joins_listing(spark, sf_dir):
+    """The manifest against the listing of what was written: keys, sizes and ids, as the index would read either."""
+    buckets = {"events-0": _packed_segments(spark, sf_dir)}
+    manifest = manifest_listing(spark, buckets)
+    listed = list_segments(spark, buckets).select("key", F.col("size").alias("listed_size"), F.col("segment").alias("listed_id"))
+    events = spark.read.parquet(f"{buckets['events-0']}/manifest").agg(F.sum("event_count").alias("events"))
+    both = manifest.join(listed, "key", "full").agg(
+        F.count("*").alias("segments"), F.count("segment").alias("in_manifest"), F.count("listed_id").alias("in_listing"),
+        F.count_if(F.col("size") == F.col("listed_size")).alias("same_size"),
+        F.count_if(F.col("segment") == F.col("listed_id")).alias("same_id"))
+    return accounting.beside(both, events)
+
+
+@query
+def index_cycle_with_failures(spark, sf_dir):
+    """A cycle over real segments, one of them empty and one that cannot be read; and where its cursor stops."""
+    root = _packed_segments(spark, sf_dir)
+    folder = f"{root}/events/1704067200/w0"
+    storage.write_text(spark, f"{folder}/empty.ndjson", "")
+    broken = f"{folder}/segment=b000000007-1-0"
+    name = next(n for n, _ in storage.children(spark, broken) if n.startswith("part-"))
+    storage.move(spark, f"{broken}/{name}", f"{broken}/{name}.gz")  # no such content
+    conf = IndexConf(root=shared_dir(spark, "index"), buckets={"events-0": root}, num_shards=SHARDS)
+    totals = run_index_cycle(spark, conf)
+    _, cursors = index_sink.load_cursors(spark, conf.root)
+    stopped = cursors.select(parse_segment_key(F.col("last_key"))["segment"].alias("cursor_segment"))
+    held = index_sink.read_index(spark, conf.root).agg(F.count("*").alias("entries"))
+    return accounting.beside(totals, held, stopped)
+
+
+@query
+def index_cycle_from_manifest(spark, sf_dir):
+    """The writers' manifests in place of a listing."""
+    conf = IndexConf(root=shared_dir(spark, "index"), buckets={"events-0": _packed_segments(spark, sf_dir)}, num_shards=SHARDS, listing="manifest")
+    return run_index_cycle(spark, conf)
+
+
+@query
+def index_batch_then_stream(spark, sf_dir):
+    """Two batch cycles and a stream over other buckets of the same events on one root: nothing of either is lost."""
+    base = inputs.lines(spark, sf_dir).select("line", F.expr("line_no % 3").alias("third"))
+    roots = {}
+    for k, part in enumerate(("third < 2", "third = 2", "third > 0")):
+        roots[f"events-{k}"] = shared_dir(spark, "segments")
+        base.where(part).select("line").write.text(f"{roots[f'events-{k}']}/events/{1_704_067_200 + k}/w{k}")
+    conf = IndexConf(root=shared_dir(spark, "index"), num_shards=SHARDS, compaction_threshold=3, checkpoint=shared_dir(spark, "checkpoint"))
+    for k in (0, 1):
+        conf.buckets = {f"events-{k}": roots[f"events-{k}"]}
+        run_index_cycle(spark, conf)
+    conf.buckets = {"events-2": roots["events-2"]}
+    run_index(spark, conf, once=True).awaitTermination()
+    return index_sink.read_index(spark, conf.root).groupBy("shard").agg(
+        F.count("*").alias("entries"), F.count_if(F.col("bucket") == "events-2").alias("from_stream"))
 
 
 @query

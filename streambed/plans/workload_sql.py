@@ -175,9 +175,27 @@ ORACLES: dict[str, str] = {
     "count(*) AS events, CAST(sum(bytes) AS BIGINT) AS bytes FROM accepted GROUP BY 1, 2",
     "segment_manifest": packing_sql(
         500, 60_000,
-        "SELECT concat('events/1704067200/w0/b000000007/segment=', part, '-', seg) AS key, 'w0' AS instance_id, "
-        "concat(part, '-', seg) AS segment_id, count(*) AS event_count, CAST(7 AS BIGINT) AS batch_id, "
+        "SELECT concat('events/1704067200/w0/segment=b000000007-', part, '-', seg) AS key, 'w0' AS instance_id, "
+        "concat('segment=b000000007-', part, '-', seg) AS segment_id, count(*) AS event_count, CAST(7 AS BIGINT) AS batch_id, "
         "CAST(1704067200 AS BIGINT) AS flush_ts, CAST(sum(bytes + 1) AS BIGINT) AS size_bytes FROM f GROUP BY part, seg"),
+    "manifest_joins_listing": packing_sql(
+        500, 60_000,
+        ", s AS (SELECT count(DISTINCT concat(part, '-', seg)) AS n, count(*) AS events FROM f) "
+        "SELECT n AS segments, n AS in_manifest, n AS in_listing, n AS same_size, n AS same_id, events FROM s"),
+    # Segment 1-0 is broken; the cursor stops at the last segment before it, in order of their ids as text.
+    "index_cycle_with_failures": packing_sql(
+        500, 60_000,
+        ", s AS (SELECT concat('segment=b000000007-', part, '-', seg) AS id, count(*) FILTER (WHERE event_id % 50 <> 4) AS n FROM f GROUP BY part, seg), "
+        "good AS (SELECT * FROM s WHERE id <> 'segment=b000000007-1-0') "
+        "SELECT CAST(sum(n) AS BIGINT) AS total_indexed, count(*) + 1 AS total_segments, (SELECT count(*) FROM s) - count(*) AS total_errors, "
+        "CAST(sum(n) AS BIGINT) AS entries, max(id) FILTER (WHERE id < 'segment=b000000007-1-0') AS cursor_segment FROM good"),
+    "index_cycle_from_manifest": packing_sql(
+        500, 60_000,
+        "SELECT count(*) FILTER (WHERE event_id % 50 <> 4) AS total_indexed, count(DISTINCT concat(part, '-', seg)) AS total_segments, "
+        "CAST(count(*) FILTER (WHERE part IS NULL) AS BIGINT) AS total_errors FROM f"),
+    # Of equal entries the one of the latest segment counts: the stream's where it has the event.
+    "index_batch_then_stream": f"WITH RECURSIVE {ENTRIES_SQL} SELECT shard, count(*) AS entries, "
+    "count(*) FILTER (WHERE no % 3 > 0) AS from_stream FROM entries GROUP BY 1",
     "segments_read_back": f"WITH {MESSAGES_SQL} SELECT count(*) AS lines, CAST(sum(length(value)) AS BIGINT) AS chars, "
     "CAST(sum(bytes + 1) AS BIGINT) AS bytes, CAST(0 AS BIGINT) AS size_mismatches FROM accepted",
     "batch_bytes": f"WITH {MESSAGES_SQL} SELECT event_type, count(*) AS events, CAST(sum(bytes) AS BIGINT) AS bytes "

@@ -1,90 +1,64 @@
-"""The index on disk: deltas per batch, baseline versions per shard, cursors.
+"""The index on disk: deltas per commit, a baseline per shard, cursors.
 
 Layout below an index root:
 
-``delta/batch=B/shard=N``          entries of one cycle
-``baseline/version=V/shard=N``     compacted entries
-``state/version=V``                per shard: its baseline version and the last batch in it
-``cursors/version=V``              per bucket the last processed key
+``commits/N.json``               the state after commit N (see ``commits.py``)
+``delta/id=X/shard=N``           entries of one cycle or micro-batch
+``baseline/id=X/shard=N``        compacted entries
+``results/id=X``                 the latest cycle's segment results
 
-State and cursor versions are one file each, committed at once; the highest committed
-version counts. Nothing that a reader may hold is overwritten.
+A folder gets a name of its own and counts once a commit names it. Readers open the folders that the latest commit
+names, so merged deltas and old baselines are never listed; nothing that a reader may hold is overwritten.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..operators.dedup import latest_entries
 from ..operators.routing import route
 from ..schemas import CURSORS
+from .commits import CommitLog, StaleWriter, State
 
 # Fixed value: deltas of a shard that make it due for compaction.
 COMPACTION_THRESHOLD = 32
 
-_STATE = "shard int, baseline long, merged_through long"
 _ENTRY = (
     "reference_id string, ts long, event_id string, bucket string, key string, "
     "start_byte long, end_byte long, row_key string, locator string, seg_ts long, "
     "writer string, segment string, time_unreadable boolean"
 )
+_NAMES = ["shard", *[c.split()[0] for c in _ENTRY.split(", ")]]
 
 
-def _read(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """A table that may not exist yet."""
-    try:
-        return spark.read.schema(ddl).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], ddl)
-
-
-def _latest(spark: SparkSession, path: str, ddl: str) -> tuple[int, DataFrame]:
-    """Highest version and its rows; the partition column is pruned to that version."""
-    table = _read(spark, path, f"{ddl}, version long")
-    version = table.agg(F.max("version")).head()[0]
-    if version is None:
-        return 0, table.drop("version")
-    return version, table.where(F.col("version") == version).drop("version")
-
-
-def _save_version(rows: DataFrame, path: str, version: int) -> None:
-    rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/version={version}")
+def new_folder(table: str) -> str:
+    """A folder below the root that no other attempt writes to."""
+    return f"{table}/id={uuid.uuid4().hex}"
 
 
-def write_delta(entries: DataFrame, root: str, batch_id: int) -> None:
-    """Write one cycle's entries by shard; running a batch again replaces it."""
-    routed = route(entries.select("shard", *[c.split()[0] for c in _ENTRY.split(", ")]))
-    routed.write.mode("overwrite").partitionBy("shard").parquet(f"{root}/delta/batch={batch_id}")
+def _write(entries: DataFrame, path: str) -> None:
+    quiet = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}  # a commit says that the folder is whole
+    route(entries.select(*_NAMES)).write.options(**quiet).partitionBy("shard").parquet(path)
 
 
-def list_deltas(spark: SparkSession, root: str) -> DataFrame:
-    """``shard, batch, path`` of every delta file, from the listing alone."""
-    try:
-        files = spark.read.format("binaryFile").load(f"{root}/delta")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "shard int, batch long, path string")
-    if "shard" not in files.columns:
-        return spark.createDataFrame([], "shard int, batch long, path string")
-    return files.select(F.col("shard").cast("int"), F.col("batch").cast("long"), "path")
+def write_delta(entries: DataFrame, root: str) -> dict:
+    """Write one cycle's entries by shard; what a commit needs to name them."""
+    path = new_folder("delta")
+    _write(entries, f"{root}/{path}")
+    held = storage.children(entries.sparkSession, f"{root}/{path}")
+    return {"path": path, "shards": [int(n.removeprefix("shard=")) for n, folder in held if folder]}
 
 
 def pending_deltas(spark: SparkSession, root: str) -> DataFrame:
-    """Delta files not yet part of their shard's baseline."""
-    _, state = _latest(spark, f"{root}/state", _STATE)
-    return (
-        list_deltas(spark, root)
-        .join(state, "shard", "left")
-        .where(F.col("batch") > F.coalesce("merged_through", F.lit(-1)))
-        .select("shard", "batch", "path")
-    )
+    """``shard, batch, path`` of the deltas not yet part of their shard's baseline, from the log alone."""
+    state = CommitLog(spark, root).latest()
+    rows = [(shard, d["commit"], f"{root}/{d['path']}") for d in state["deltas"] for shard in d["shards"]]
+    return spark.createDataFrame(rows, "shard int, batch long, path string")
 
 
 def delta_counts(deltas: DataFrame, num_shards: int) -> DataFrame:
@@ -103,58 +77,68 @@ def compaction_due(
     return delta_counts(deltas, num_shards).where(F.col("deltas") >= threshold)
 
 
-def read_index(spark: SparkSession, root: str) -> DataFrame:
+def read_index(spark: SparkSession, root: str, state: State | None = None) -> DataFrame:
     """All current entries: baselines plus newer deltas, latest write per row key."""
-    return latest_entries(_all_entries(spark, root))
-
-
-def _all_entries(spark: SparkSession, root: str, shards: Sequence[int] | None = None) -> DataFrame:
-    _, state = _latest(spark, f"{root}/state", _STATE)
-    names = ["shard", *[c.split()[0] for c in _ENTRY.split(", ")]]
-    base = _read(spark, f"{root}/baseline", f"{_ENTRY}, version long, shard int")
-    delta = _read(spark, f"{root}/delta", f"{_ENTRY}, batch long, shard int")
-    if shards is not None:
-        base, delta = base.where(F.col("shard").isin(*shards)), delta.where(F.col("shard").isin(*shards))
-    # The state has one row per shard.
-    base = base.join(
-        state.select("shard", F.col("baseline").alias("version")), ["shard", "version"], "left_semi"
-    )
-    # Literals on partition columns: merged deltas are dropped while listing.
-    merged = {row.shard: row.merged_through for row in state.collect()}
-    if merged:
-        through = F.create_map(*[F.lit(x) for pair in merged.items() for x in pair])
-        delta = delta.where(F.col("batch") > F.coalesce(F.try_element_at(through, F.col("shard")), F.lit(-1)))
-    return base.select(*names).unionByName(delta.select(*names))
+    state = CommitLog(spark, root).latest() if state is None else state
+    return latest_entries(_entries(spark, root, state))
+
+
+def _read(spark: SparkSession, root: str, table: str, folders: list[str]) -> DataFrame:
+    """Entries of the named shard folders; nothing else of the table is listed."""
+    if not folders:
+        return spark.createDataFrame([], f"shard int, {_ENTRY}")
+    reader = spark.read.schema(f"{_ENTRY}, id string, shard int").option("basePath", f"{root}/{table}")
+    return reader.parquet(*[f"{root}/{f}" for f in folders]).select(*_NAMES)
 
 
-def compact(spark: SparkSession, root: str, shards: Sequence[int]) -> int | None:
-    """Merge the deltas of the given shards into new baselines; the new version number."""
+def _entries(spark: SparkSession, root: str, state: State, shards: Sequence[int] | None = None) -> DataFrame:
+    def wanted(shard: int) -> bool:
+        return shards is None or shard in shards
+
+    base = [path for s, path in state["baseline"].items() if wanted(int(s))]
+    delta = [f"{d['path']}/shard={s}" for d in state["deltas"] for s in d["shards"] if wanted(s)]
+    return _read(spark, root, "baseline", base).unionByName(_read(spark, root, "delta", delta))
+
+
+def compact(spark: SparkSession, root: str, shards: Sequence[int]) -> str | None:
+    """Merge the deltas of the given shards into new baselines; the folder that holds them.
+
+    Deltas committed meanwhile stay as they are. A compaction that another one overtakes is dropped (None).
+    """
     shards = sorted({int(s) for s in shards})
     if not shards:
         return None
-    version, state = _latest(spark, f"{root}/state", _STATE)
-    new = version + 1
-    through = pending_deltas(spark, root).agg(F.max("batch")).head()[0]
-    merged = latest_entries(_all_entries(spark, root, shards))
-    route(merged).write.mode("overwrite").partitionBy("shard").parquet(
-        f"{root}/baseline/version={new}"
-    )
-    fresh = spark.createDataFrame([(s, new) for s in shards], "shard int, baseline long")
-    previous = state.select("shard", F.col("merged_through").alias("__before"))
-    fresh = fresh.join(previous, "shard", "left").select(
-        "shard", "baseline",
-        F.greatest(F.coalesce("__before", F.lit(-1)), F.lit(-1 if through is None else through))
-        .cast("long").alias("merged_through"),
-    )
-    kept = state.join(fresh.select("shard"), "shard", "left_anti")
-    _save_version(kept.unionByName(fresh), f"{root}/state", new)
-    return new
+    log = CommitLog(spark, root)
+    epoch = log.open("compaction")
+    before = log.latest()
+    path = new_folder("baseline")
+    _write(latest_entries(_entries(spark, root, before, shards)), f"{root}/{path}")
+    held = {n.removeprefix("shard=") for n, folder in storage.children(spark, f"{root}/{path}") if folder}
+    merged = {d["path"] for d in before["deltas"]}
+
+    def swap(state: State) -> State:
+        left = [
+            {**d, "shards": [s for s in d["shards"] if d["path"] not in merged or s not in shards]} for d in state["deltas"]
+        ]
+        base = {**state["baseline"], **{s: f"{path}/shard={s}" for s in map(str, shards) if s in held}}
+        return {**state, "deltas": [d for d in left if d["shards"]], "baseline": base}
+
+    try:
+        log.commit("compaction", epoch, swap)
+    except StaleWriter:
+        storage.remove(spark, f"{root}/{path}")
+        return None
+    return path
 
 
 def load_cursors(spark: SparkSession, root: str) -> tuple[int, DataFrame]:
-    """Version and ``bucket, last_key`` rows; version 0 and no rows before the first save."""
-    return _latest(spark, f"{root}/cursors", CURSORS)
+    """Number of the latest commit and ``bucket, last_key`` rows; 0 and no rows before the first."""
+    state = CommitLog(spark, root).latest()
+    return state["number"], spark.createDataFrame(sorted(state["cursors"].items()), CURSORS)
 
 
-def save_cursors(cursors: DataFrame, root: str, version: int) -> None:
-    _save_version(cursors.select("bucket", "last_key"), f"{root}/cursors", version)
+def save_cursors(cursors: DataFrame, root: str) -> int:
+    """Commit one cursor per bucket in place of those the log has; the number of the commit."""
+    log = CommitLog(cursors.sparkSession, root)
+    rows = {r.bucket: r.last_key for r in cursors.select("bucket", "last_key").collect()}
+    return log.commit("cursors", log.open("cursors"), lambda state: {**state, "cursors": rows})["number"]

@@ -18,7 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import storage
+from ..functions.keys import parse_segment_key
 from ..operators.packing import MAX_BYTES, MAX_ROWS
+from ..sources.segments import file_path, key_of
 
 _MANIFEST = (
     "key string, instance_id string, segment_id string, event_count long, batch_id long, "
@@ -98,28 +101,34 @@ def write_segments(
 ) -> DataFrame:
     """Write labelled events below ``{root}/events/{flush}/{instance}`` and their manifest.
 
-    Each batch owns a folder there, also when two flush in the same second, with one
-    folder per ``segment`` label in it. ``gather=True`` brings a segment's rows together
+    A segment is a folder ``segment=b{batch}-{label}`` there, which its key names as the segment. What an earlier
+    attempt of the batch left goes first. The manifest has a row per file, with the key, size
+    and events that the file was then found to have.
+
+    ``gather=True`` brings a segment's rows together
     first, for labels that cross tasks; a segment is bounded by the flush limits.
     """
     spark = events.sparkSession
     stamp = flush_time(spark, root, instance, batch_id, flush_ts)
-    folder = f"events/{stamp}/{instance}/b{batch_id:09d}"
-    lines = events.select("segment", one_line(F.col("payload")).alias("value"))
+    folder, mine = f"events/{stamp}/{instance}", f"b{batch_id:09d}-"
+    for name, _ in storage.children(spark, f"{root}/{folder}"):
+        if name.startswith(f"segment={mine}"):
+            storage.remove(spark, f"{root}/{folder}/{name}")
+    label = F.concat(F.lit(mine), "segment").alias("segment")
+    lines = events.select(label, one_line(F.col("payload")).alias("value"))
     if gather:
         order = [c for c in ("arrival",) if c in events.columns]
-        lines = events.select("segment", *order, one_line(F.col("payload")).alias("value"))
+        lines = events.select(label, *order, one_line(F.col("payload")).alias("value"))
         lines = lines.repartition("segment").sortWithinPartitions("segment", *order).select("segment", "value")
-    lines.write.mode("overwrite").partitionBy("segment").text(f"{root}/{folder}", lineSep="\n")
-    manifest = events.groupBy("segment").agg(
-        F.count("*").alias("event_count"),
-        F.sum(F.octet_length("payload") + 1).cast("long").alias("size_bytes"),
-    )
+    lines.write.mode("append").partitionBy("segment").text(f"{root}/{folder}", lineSep="\n")
     path = _of_batch(root, "manifest", instance, batch_id)
-    manifest.select(
-        F.concat(F.lit(f"{folder}/segment="), "segment").alias("key"),
+    written = spark.read.option("recursiveFileLookup", "true").text(f"{root}/{folder}", lineSep="\n")
+    key = key_of(file_path(), root)
+    found = written.where(F.contains(key, F.lit(f"/segment={mine}"))).groupBy(key.alias("key"), F.col("_metadata.file_size").alias("size_bytes"))
+    found.agg(F.count("*").alias("event_count")).select(
+        "key",
         F.lit(instance).alias("instance_id"),
-        F.col("segment").alias("segment_id"),
+        parse_segment_key(F.col("key"))["segment"].alias("segment_id"),
         "event_count",
         F.lit(batch_id).cast("long").alias("batch_id"),
         F.lit(stamp).cast("long").alias("flush_ts"),

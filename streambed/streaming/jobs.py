@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import storage
+from ..functions.keys import parse_segment_key
 from ..operators.decode import decode_events
-from ..operators.indexing import parse_lines
-from ..plans.index import IndexConf, compact_due, index_parsed
+from ..plans.index import IndexConf, index_batch
 from ..plans.ingest import IngestConf, flush_batch
+from ..session import cut
+from ..sinks.commits import CommitLog
+from ..sources.listing import SegmentListing, listing_options
 from ..sources.messages import read_messages, with_arrival
 from ..sources.segments import stream_segment_lines
 from .dedup import dedup_stream, drained
@@ -64,30 +71,51 @@ def run_ingest(spark: SparkSession, conf: IngestConf, once: bool = False) -> Str
         return writer.start()
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that owns a checkpoint: a new checkpoint in the same place is another stream."""
+    return json.loads(storage.read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+
+
 def run_index(spark: SparkSession, conf: IndexConf, once: bool = False) -> StreamingQuery:
     """Segments of all buckets to index deltas, one cycle per micro-batch.
 
-    The stream's own log of files seen replaces the cursor: a file that appears late, below
-    keys already read, is indexed all the same.
+    ``conf.listing`` ``"seen_files"`` (default): the stream's own log of files seen replaces the cursor, so a file that appears late,
+    below keys already read, is indexed all the same. ``"start_after"``: the offset is the last key of each bucket and only
+    flush folders at or after it are listed; a late key is not read, a segment that cannot be read is left out with an
+    error in the results.
+
+    Micro-batches are commits of the index log, which batch cycles on the same root share. A stream that starts again
+    fences its earlier run.
     """
-    streams = [
-        stream_segment_lines(spark, bucket, root, conf.max_files_per_trigger)
-        for bucket, root in sorted(conf.buckets.items())
-    ]
-    lines = streams[0]
-    for other in streams[1:]:
-        lines = lines.unionByName(other)
+    checkpoint = _checkpoint(conf)
+    start_after = conf.listing == "start_after"
+    if start_after:
+        spark.dataSource.register(SegmentListing)
+        source = spark.readStream.format("segment_listing").options(**listing_options(conf.buckets)).load()
+        source = source.where(parse_segment_key(F.col("key")).isNotNull())
+    else:
+        source = reduce(DataFrame.unionByName, [
+            stream_segment_lines(spark, bucket, root, conf.max_files_per_trigger) for bucket, root in sorted(conf.buckets.items())
+        ])
+    run: dict = {}
 
     def cycle(batch: DataFrame, batch_id: int) -> None:
+        if not run:
+            run["stream"] = stream_id(spark, checkpoint)
+            run["epoch"] = CommitLog(spark, conf.root).open(f"stream:{run['stream']}")
+        if start_after:
+            listing = cut(batch, "listing")
+            if not listing.isEmpty():
+                index_batch(spark, conf, run["stream"], run["epoch"], batch_id, listing=listing)
+            return
         numbered = batch.withColumn("line_no", F.monotonically_increasing_id()).withColumn(
             "line_bytes", F.octet_length("line")
         )
-        index_parsed(spark, parse_lines(numbered, conf.strict_reference), conf, batch_id)
-        compact_due(spark, conf)
+        index_batch(spark, conf, run["stream"], run["epoch"], batch_id, numbered)
 
     return (
-        lines.writeStream.foreachBatch(cycle)
-        .option("checkpointLocation", _checkpoint(conf))
+        source.writeStream.foreachBatch(cycle)
+        .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(conf.trigger, once))
         .queryName("index")
         .start()
