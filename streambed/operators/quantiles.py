@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocked import running_totals
@@ -105,3 +105,40 @@ def histogram_quantile(
         .otherwise(lower + (F.col("le") - lower) * (F.col("__rank") - F.col("__below")) / inside)
         .alias("quantile"),
     )
+
+
+#: Size of a sketch: it keeps some k values whatever it was given.
+SKETCH_K = 200
+
+
+def rank_error(k: int = SKETCH_K) -> float:
+    """How far the rank of a sketched quantile may be off, as a share of all values.
+
+    Twice the published 99 % error of a sketch of that size (2.296 / k^0.9021), so that it holds for
+    all windows of a report together.
+    """
+    return 2 * 2.296 / k ** 0.9021
+
+
+def sketched_quantiles(
+    rows: DataFrame,
+    step: Sequence[str],
+    value: str,
+    probs: Sequence[float],
+    group: Sequence[str],
+    spread: Mapping[str, Column] | None = None,
+    k: int = SKETCH_K,
+) -> DataFrame:
+    """Quantiles of a group from sketches of its steps, with the number of values: ``*group, n, prob, quantile``.
+
+    ``spread`` says which groups a step belongs to. Sketches merge in the map tasks and may be stored as they are.
+    """
+    made = rows.where(F.col(value).isNotNull()).groupBy(*step).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(k)).alias("__sketch"))
+    for name, column in (spread or {}).items():
+        made = made.withColumn(name, column)
+    merged = made.groupBy(*group).agg(F.kll_merge_agg_double("__sketch", F.lit(k)).alias("__sketch"))
+    found = F.explode(F.array(*[
+        F.struct(F.lit(float(p)).alias("prob"), F.kll_sketch_get_quantile_double("__sketch", F.lit(float(p))).alias("quantile")) for p in probs
+    ]))
+    return merged.select(*group, F.kll_sketch_get_n_double("__sketch").alias("n"), found.alias("__q")).select(
+        *group, "n", F.col("__q.prob").alias("prob"), F.col("__q.quantile").alias("quantile"))

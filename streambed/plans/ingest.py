@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.blocked import match
 from ..operators.decode import decode_events, split_rejects
 from ..operators.dedup import DEFAULT_WINDOW_S, kept_keys
 from ..operators.packing import MAX_BYTES, MAX_ROWS
 from ..session import cut
+from ..sinks import metrics
 from ..sinks.segments import committed, label_by_task, write_rejects, write_segments
 
 
@@ -30,59 +33,85 @@ class IngestConf:
     strict: bool = True
     max_rows: int = MAX_ROWS
     max_bytes: int = MAX_BYTES
+    # Tasks that write a flush; unset, as many as the batch has.
+    write_tasks: int | None = None
+    # What writes labelled events as segments and returns their manifest.
+    writer: Callable[[DataFrame, int, str, str], DataFrame] = write_segments
 
 
-def flush_batch(decoded: DataFrame, conf: IngestConf, batch_id: int) -> Counter[str]:
-    """Write one decoded, deduplicated batch: rejects, segments, manifest; return counts.
+def write_batch(
+    spark: SparkSession, conf: IngestConf, batch_id: int, events: DataFrame, rejects: DataFrame, counts: Counter[str]
+) -> Counter[str]:
+    """Write a batch's rejects and segments and record counts and times; a failure is recorded and raised.
 
-    Rows that a column ``duplicate`` marks are counted as ``duplicates``, if there are any, and not written.
+    The manifest comes last and says that the batch is complete; a batch that has one stays as it is.
+    """
+    began = time.monotonic()
+    upload = 0.0
+    try:
+        stored = committed(spark, conf.root, conf.instance, batch_id)
+        if stored is None:
+            if counts["rejected"]:
+                write_rejects(rejects, conf.root, conf.instance, batch_id)
+            if counts["flushed"]:
+                if conf.write_tasks:
+                    events = events.coalesce(conf.write_tasks)
+                began_upload = time.monotonic()
+                stored = conf.writer(label_by_task(events, conf.max_rows, conf.max_bytes), batch_id, conf.root, conf.instance)
+                upload = time.monotonic() - began_upload
+    except Exception:
+        metrics.record(spark, conf.root, conf.instance, batch_id, f"failure-{uuid.uuid4().hex}", {metrics.FAILURES: 1})
+        raise
+    uploads = 0 if stored is None else stored.count()
+    spent = time.monotonic() - began
+    kept = counts["flushed"]
+    told = {metrics.CONSUMED: kept, metrics.FLUSHED: kept, metrics.UPLOADS: uploads, metrics.REJECTED: counts["rejected"], metrics.FAILURES: 0}
+    if "duplicates" in counts:
+        told[metrics.DUPLICATES] = counts["duplicates"]
+    seconds = {"flush": spent, "upload": upload, "processing": spent / kept} if kept else {}
+    metrics.record(spark, conf.root, conf.instance, batch_id, "flush", told, seconds)
+    return counts
 
-    A batch whose manifest is there is complete and stays as it is; its rows are only counted,
-    which also lets a stream that repeats it commit its state.
 
-    The batch is read by three writes, so it is kept for their duration, sorted inside
+def flush_batch(decoded: DataFrame, conf: IngestConf, batch_id: int) -> Counter[str]:
+    """Write one decoded, deduplicated batch: rejects, segments, manifest; return counts.
+
+    The batch is read by several writes, so it is kept for their duration, sorted inside
     each task so that a recomputed partition labels its rows the same way.
     """
-    if "duplicate" not in decoded.columns:
-        decoded = decoded.withColumn("duplicate", F.lit(False))
     order = [c for c in ("arrival", "event_id", "payload") if c in decoded.columns]
     held = decoded.sortWithinPartitions(*order).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = F.col("reason").isNull()
-        totals = held.agg(
-            F.count(F.when(good & ~F.col("duplicate"), 1)).alias("flushed"),
-            F.count(F.when(~good, 1)).alias("rejected"),
-            F.count(F.when(good & F.col("duplicate"), 1)).alias("duplicates"),
-        ).head()
+        totals = held.agg(F.count(F.when(good, 1)).alias("flushed"), F.count(F.when(~good, 1)).alias("rejected")).head()
         counts = Counter(flushed=totals.flushed, rejected=totals.rejected)
-        if totals.duplicates:
-            counts["duplicates"] = totals.duplicates
-        if committed(held.sparkSession, conf.root, conf.instance, batch_id) is not None:
-            return counts
-        events, rejects = split_rejects(held.where(~good | ~F.col("duplicate")).drop("duplicate"))
-        if totals.rejected:
-            write_rejects(rejects, conf.root, conf.instance, batch_id)
-        if totals.flushed:  # last, as its manifest says that the batch is complete
-            labelled = label_by_task(events, conf.max_rows, conf.max_bytes)
-            write_segments(labelled, batch_id, conf.root, conf.instance)
-        return counts
+        events, rejects = split_rejects(held)
+        return write_batch(held.sparkSession, conf, batch_id, events, rejects, counts)
     finally:
         held.unpersist()
 
 
 def ingest_batch(messages: DataFrame, conf: IngestConf, batch_id: int = 0) -> Counter[str]:
-    """Run a bounded set of messages (with ``arrival``) through the whole ingest.
+    """Run a bounded set of messages (with ``arrival``, a number of their own) through the whole ingest.
 
-    Messages are decoded twice: once for ids and times, which decide what is kept, once
-    for what is written, valid and rejected together.
+    Messages are parsed once, into a narrow written table of their ids, times and reasons. What
+    to leave out, rejects and repeats, is usually little and is told by arrival; everything else is
+    written as it came, without being parsed, shuffled or kept.
     """
-    decoded = decode_events(messages, conf.strict)
-    kept = decoded
+    spark = messages.sparkSession
+    decoded = decode_events(messages, conf.strict).select("arrival", "event_id", "timestamp", "reason")
+    narrow = cut(decoded, "decoded")
+    rejected = narrow.where(F.col("reason").isNotNull()).select("arrival", "reason")
+    valid = narrow.where(F.col("reason").isNull())
+    out = rejected.select("arrival")
+    counts = Counter(rejected=rejected.count())
     if conf.dedup_window_s is not None:
-        valid = decoded.where(F.col("reason").isNull())
-        keys = cut(
-            kept_keys(valid, ["event_id"], "arrival", "timestamp", conf.dedup_window_s), "kept"
-        ).withColumn("__kept", F.lit(True))
-        marked = match(decoded, keys, ["event_id", "arrival"], "left")
-        kept = marked.withColumn("duplicate", F.col("reason").isNull() & F.col("__kept").isNull()).drop("__kept")
-    return flush_batch(kept, conf, batch_id)
+        kept = kept_keys(valid, ["event_id"], "arrival", "timestamp", conf.dedup_window_s)
+        repeats = cut(valid.select("arrival").join(kept.select("arrival"), "arrival", "left_anti"), "repeats")
+        if many := repeats.count():
+            counts["duplicates"] = many
+        out = out.unionByName(repeats)
+    counts["flushed"] = valid.count() - counts.get("duplicates", 0)
+    events = messages.join(cut(out, "left-out"), "arrival", "left_anti").select("arrival", F.col("value").alias("payload"))
+    rejects = messages.join(rejected, "arrival").select("value", "reason")
+    return write_batch(spark, conf, batch_id, events, rejects, counts)

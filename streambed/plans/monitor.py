@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.accounting import beside
@@ -12,25 +12,17 @@ from ..operators.blocked import previous_values
 from ..operators.packing import MAX_BYTES, MAX_ROWS
 from ..operators.quantiles import (
     PROBABILITIES,
+    SKETCH_K,
     bucket_counts,
     exact_quantiles,
     histogram_quantile,
+    sketched_quantiles,
 )
+from ..sinks.metrics import CONSUMED, DUPLICATES, FAILURES, FLUSHED, REJECTED, UPLOADS
 
-# Counter names, stage names, dashboard bands and histogram bounds.
-CONSUMED = "events_consumed_total"
-FLUSHED = "events_flushed_total"
-UPLOADS = "s3_uploads_total"
-FAILURES = "flush_failures_total"
+# Gauge names, dashboard bands and histogram bounds.
 BUFFER_EVENTS = "buffer_events"
 BUFFER_BYTES = "buffer_bytes"
-STAGES = {
-    "processing": "event_processing_duration_seconds",
-    "fetch": "kafka_fetch_duration_seconds",
-    "upload": "s3_upload_duration_seconds",
-    "flush": "flush_duration_seconds",
-    "staging": "wal_write_duration_seconds",
-}
 SUCCESS_BANDS = (99.0, 99.9)
 PENDING_BANDS = (5000, 8000)
 BUFFER_EVENT_BANDS = (7000, 8500)
@@ -73,6 +65,33 @@ def counter_rate(samples: DataFrame, name: str | None = None, window_s: int = 60
     )
 
 
+def trailing_rate(
+    samples: DataFrame, name: str | None = None, window_s: int = 60, step_s: int = 30, block_s: int = 86_400
+) -> DataFrame:
+    """Increase per second over the ``window_s`` seconds up to each step, where a series has a sample in them.
+
+    A sample at the step counts, one ``window_s`` before it does not. Series are cut into blocks of time; a block also
+    gets the samples of the window before it, so its frames are whole and a series never gathers in one task.
+    """
+    if block_s < window_s:
+        raise ValueError("a block must be as long as the window")
+    micro = 1_000_000
+    window, step, block = window_s * micro, step_s * micro, block_s * micro
+    at, lane = F.unix_micros("ts"), ["name", "instance"]
+    chosen = samples if name is None else samples.where(F.col("name") == name)
+    grown = counter_increases(chosen).select(*lane, at.alias("at"), F.coalesce("increase", F.lit(0)).alias("increase"))
+    exact = lambda value, unit: value - F.pmod(value, F.lit(unit))
+    first, last = exact(F.col("at") + (step - 1), step), exact(F.col("at") + (window - 1), step)
+    steps = grown.select(*lane, F.explode(F.sequence(first, last, F.lit(step).cast("bigint"))).alias("at")).distinct()
+    own = exact(F.col("at"), block)
+    near = F.col("at") > own + (block - window)  # within the window of the next block's first step
+    placed = grown.withColumn("block", F.explode(F.when(near, F.array(own, own + block)).otherwise(F.array(own)))).withColumn("step", F.lit(False))
+    marks = steps.select(*lane, "at", F.lit(0).cast("bigint").alias("increase"), own.alias("block"), F.lit(True).alias("step"))
+    frame = Window.partitionBy(*lane, "block").orderBy("at").rangeBetween(-(window - 1), 0)
+    summed = placed.unionByName(marks).withColumn("total", F.sum("increase").over(frame))
+    return summed.where("step").select(*lane, (F.col("at") / micro).cast("bigint").alias("at"), (F.col("total") / window_s).alias("per_second"))
+
+
 def latest_counters(samples: DataFrame) -> DataFrame:
     """Last value of every series."""
     return samples.groupBy("name", "instance").agg(
@@ -133,6 +152,36 @@ def stage_quantiles(
     )
 
 
+def stage_quantiles_sketched(
+    timings: DataFrame,
+    stage: str | None = None,
+    probs: Sequence[float] = PROBABILITIES,
+    window_s: int = 300,
+    step_s: int = 30,
+    k: int = SKETCH_K,
+) -> DataFrame:
+    """``stage_quantiles`` from one sketch per step, merged into the windows that cover it.
+
+    What is copied into windows is of bounded size, however many values a step has. See ``rank_error`` for how
+    far a quantile's rank may be off; up to ``k`` values a window is exact to the rank.
+    """
+    chosen = timings if stage is None else timings.where(F.col("stage") == stage)
+    steps = chosen.withColumn("__step", F.floor(F.unix_seconds("ts") / step_s) * step_s)
+    first = F.col("__step") - window_s + step_s
+    spread = F.explode(F.sequence(first, F.col("__step"), F.lit(step_s).cast("long")))
+    return sketched_quantiles(steps, ["stage", "__step"], "seconds", probs, ["stage", "window_start"], {"window_start": spread}, k)
+
+
+def recorded_counters(samples: DataFrame) -> DataFrame:
+    """One row of an ingest's totals over all its instances, from its recorded counters."""
+    last = latest_counters(samples)
+    total = lambda name: F.coalesce(F.sum(F.when(F.col("name") == name, F.col("value"))), F.lit(0))
+    return last.agg(
+        total(CONSUMED).alias("consumed"), total(DUPLICATES).alias("duplicates"), total(REJECTED).alias("rejected"),
+        total(FLUSHED).alias("flushed"), total(UPLOADS).alias("uploads"), total(FAILURES).alias("failed_flushes"),
+    )
+
+
 def bucket_quantile(
     timings: DataFrame,
     bounds: Sequence[float] = DEFAULT_BOUNDS,
@@ -156,10 +205,17 @@ def fill_gauges(
     )
 
 
+def buffered(samples: DataFrame, instance: str) -> DataFrame:
+    """One row: an instance's last buffer gauges."""
+    of = lambda name: F.coalesce(F.max_by("value", F.when(F.col("name") == name, F.col("ts"))), F.lit(0))
+    mine = samples.where((F.col("instance") == instance) & F.col("name").isin(BUFFER_EVENTS, BUFFER_BYTES))
+    return mine.agg(of(BUFFER_EVENTS).alias("events"), of(BUFFER_BYTES).alias("bytes"))
+
+
 def health_report(sizes: DataFrame, rate: DataFrame, instance: str) -> DataFrame:
     """One row: status, instance, buffer fill and current rate.
 
-    ``sizes`` has one row ``events, bytes``; ``rate`` one row ``events_per_sec``.
+    ``sizes`` has one row ``events, bytes`` (see ``buffered``); ``rate`` one row ``events_per_sec``.
     """
     return beside(sizes, rate).select(
         F.lit("ok").alias("status"),
@@ -190,9 +246,9 @@ def metrics_report(
         F.col("consumed").alias("total_consumed"),
         F.col("flushed").alias("total_flushed"),
         F.coalesce("events_per_sec", F.lit(0)).alias("events_per_sec"),
-        F.col("uploads").alias("total_uploads"),
+        F.col("uploads").alias("total_s3_uploads"),
         "failed_flushes",
-        F.col("rejected").alias("rejected_count"),
+        F.col("rejected").alias("dlq_count"),
         F.col("duplicates").alias("duplicates_filtered"),
         F.col("events").alias("buffer_events"),
         F.round(F.col("bytes") / MB, 2).alias("buffer_mb"),

@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 from ..functions.keys import parse_segment_key
 from ..functions.sharding import shard_of
 from ..functions.times import lenient_seconds, strict_seconds
-from ..operators import accounting, decode, dedup, indexing, packing, quantiles, routing
+from ..operators import accounting, decode, dedup, indexing, packing, routing
+from ..operators import quantiles as quantile_ops
 from .. import storage
 from ..session import prepare, shared_dir
 from ..sinks import index as index_sink
+from ..sinks import metrics
 from ..sinks.segments import label_by_task, write_rejects, write_segments
 from ..sources.messages import read_messages
 from ..sources.segments import list_segments, manifest_listing, read_segment_lines
 from ..sources.staged import reload_staged
 from ..streaming.dedup import dedup_stream, drained
-from ..streaming.jobs import run_index, run_ingest
+from ..streaming.jobs import drain_ingest, run_index, run_ingest
+from ..streaming.windows import events_per_second_stream, interval_sizes_stream
 from . import inputs, monitor
 from .index import IndexConf, entries_per_shard, run_index_cycle
 from .ingest import IngestConf, ingest_batch
@@ -402,39 +405,49 @@ def batch_bytes(spark, sf_dir):
     return accounting.batch_sizes(_events(spark, sf_dir), ["event_type"])
 
 
-def _batches(spark, sf_dir):
-    """Per thousand arrivals: accepted, duplicates within the hour and rejected messages."""
-    decoded = decode.decode_events(inputs.messages(spark, sf_dir))
-    batch = F.floor(F.col("arrival") / 1000).alias("batch")
-    taken = decoded.groupBy(batch).agg(
-        F.count(F.when(F.col("reason").isNull(), 1)).alias("valid"),
-        F.count("reason").alias("rejected"),
-    )
-    valid = decode.split_rejects(decoded)[0]
-    kept = dedup.kept_keys(valid, ["event_id"], "arrival", "timestamp", HOUR).groupBy(batch).agg(F.count("*").alias("kept"))
-    return taken.join(kept, "batch", "left").select(
-        "batch", F.coalesce("kept", F.lit(0)).alias("accepted"),
-        (F.col("valid") - F.coalesce("kept", F.lit(0))).alias("duplicates"), "rejected",
-    )
+QUARTERS = 4
 
 
-def _kept_events(spark, sf_dir):
-    return dedup.dedup_batch(_events(spark, sf_dir), ["event_id"], "arrival", "timestamp", HOUR)
+def _recorded_ingest(spark, sf_dir) -> str:
+    """An ingest job in four micro-batches that left its record below the returned root.
 
+    Every tenth message comes again in the next batch, and every second batch's first flush fails.
+    """
+    root, source = shared_dir(spark, "ingest"), shared_dir(spark, "messages")
+    sent = inputs.messages(spark, sf_dir).select("value", "offset", (F.col("offset") % QUARTERS).alias("quarter"))
+    again = sent.where(F.col("offset") % 10 == 0).withColumn("quarter", (F.col("quarter") + 1) % QUARTERS)
+    sent.unionByName(again).repartition("quarter").select("value", "quarter").write.partitionBy("quarter").text(source)
+    failed = set()
 
-def _packed_manifest(spark, sf_dir):
-    packed = packing.pack_segments(
-        _kept_events(spark, sf_dir), ["partition"], "arrival", max_rows=500, max_bytes=60_000, block_rows=2000
-    )
-    return packed.groupBy("partition", "seg_no").agg(
-        F.count("*").alias("event_count"), F.sum(F.octet_length("payload") + 1).alias("size_bytes")
-    )
+    def flaky(events, batch_id, *where):
+        if batch_id % 2 and batch_id not in failed:
+            failed.add(batch_id)
+            raise OSError("the store does not answer")
+        return write_segments(events, batch_id, *where)
+
+    conf = IngestConf(
+        root=root, source={"format": "text", "path": source, "maxFilesPerTrigger": "1"}, checkpoint=shared_dir(spark, "checkpoint"),
+        dedup_window_s=86_400, max_rows=1 << 30, max_bytes=1 << 60, write_tasks=1, writer=flaky)
+    drain_ingest(spark, conf)
+    return root
 
 
 @query
 def ingest_counters(spark, sf_dir):
-    failures = inputs.cycle_results(spark, sf_dir).where("error IS NOT NULL")
-    return accounting.ingest_counters(_batches(spark, sf_dir), _packed_manifest(spark, sf_dir), failures)
+    """What a job with repeated messages and failing flushes recorded of itself."""
+    return monitor.recorded_counters(metrics.counter_samples(spark, _recorded_ingest(spark, sf_dir)))
+
+
+@query
+def flush_success_recorded(spark, sf_dir):
+    success = monitor.flush_success(metrics.counter_samples(spark, _recorded_ingest(spark, sf_dir)))
+    return success.select("instance", "uploads", "failures", F.round("success_pct", 6).alias("success_pct"), "band")
+
+
+@query
+def recorded_stages(spark, sf_dir):
+    """How often the job recorded each stage: all once per batch that flushed."""
+    return metrics.stage_timings(spark, _recorded_ingest(spark, sf_dir)).where("seconds >= 0").groupBy("instance", "stage").agg(F.count("*").alias("n"))
 
 
 @query
@@ -484,6 +497,20 @@ def flushed_rate_1m(spark, sf_dir):
     return rates.select("name", "instance", "window_start", F.round("per_second", 6).alias("per_second"))
 
 
+@query
+def counter_rate_trailing(spark, sf_dir):
+    """At every 30 s, over the 60 s before."""
+    rates = monitor.trailing_rate(inputs.counter_samples(spark, sf_dir), monitor.CONSUMED)
+    return rates.select("name", "instance", "at", F.round("per_second", 6).alias("per_second"))
+
+
+@query
+def flushed_rate_trailing(spark, sf_dir):
+    """Over the hour before every 30 s, in blocks of three hours, which most frames then reach across."""
+    rates = monitor.trailing_rate(inputs.counter_samples(spark, sf_dir), monitor.FLUSHED, window_s=HOUR, step_s=1800, block_s=3 * HOUR)
+    return rates.select("name", "instance", "at", F.round("per_second", 6).alias("per_second"))
+
+
 @query
 def latest_totals(spark, sf_dir):
     return monitor.latest_counters(inputs.counter_samples(spark, sf_dir)).select("name", "instance", "value")
@@ -516,16 +543,33 @@ def stage_latency_quantiles(spark, sf_dir):
 
 @query
 def stage_latency_overall(spark, sf_dir):
-    found = quantiles.exact_quantiles(inputs.stage_timings(spark, sf_dir), ["stage"], "seconds")
+    found = quantile_ops.exact_quantiles(inputs.stage_timings(spark, sf_dir), ["stage"], "seconds")
     return found.select("stage", "prob", F.round("quantile", 6).alias("quantile"))
 
 
+@query
+def stage_latency_sketched(spark, sf_dir):
+    """Quantiles over a week, at every day, from merged sketches; whether each one's exact rank is within the bound."""
+    timings, k = inputs.stage_timings(spark, sf_dir), 100
+    found = monitor.stage_quantiles_sketched(timings, window_s=7 * 86_400, step_s=86_400, k=k)
+    day = F.floor(F.unix_seconds("ts") / 86_400) * 86_400
+    values = timings.select("stage", "seconds", F.explode(F.sequence(day - 6 * 86_400, day, F.lit(86_400).cast("long"))).alias("window_start"))
+    quantiles = found.groupBy("stage", "window_start").agg(F.collect_list(F.struct("prob", "quantile")).alias("qs"), F.max("n").alias("n"))
+    ranked = values.join(quantiles, ["stage", "window_start"]).select("stage", "window_start", "seconds", "n", F.explode("qs").alias("q")).select(
+        "stage", "window_start", "seconds", "n", F.col("q.prob").alias("prob"), F.col("q.quantile").alias("cut_at"))
+    share = ranked.groupBy("stage", "window_start", "n", "prob", "cut_at").agg(
+        (F.count_if(F.col("seconds") < F.col("cut_at")) / F.count("*")).alias("below"),
+        (F.count_if(F.col("seconds") <= F.col("cut_at")) / F.count("*")).alias("upto"))
+    off = F.greatest(F.col("below") - F.col("prob"), F.col("prob") - F.col("upto"), F.lit(0.0))
+    return share.select("stage", "window_start", "n", "prob", (off <= quantile_ops.rank_error(k)).alias("within"))
+
+
 BOUNDS = (0.001, 0.005, 0.01, 0.02, 0.03, 0.05)
 
 
 @query
 def histogram_buckets(spark, sf_dir):
-    return quantiles.bucket_counts(inputs.stage_timings(spark, sf_dir), ["stage"], "seconds", BOUNDS).where(
+    return quantile_ops.bucket_counts(inputs.stage_timings(spark, sf_dir), ["stage"], "seconds", BOUNDS).where(
         F.col("le") < F.lit(float("inf"))
     )
 
@@ -536,13 +580,12 @@ def histogram_quantile(spark, sf_dir):
     return found.select("stage", "prob", F.round("quantile", 6).alias("quantile"))
 
 
-def _report_parts(spark, sf_dir, read=_events):
-    """Buffered: the last flush interval of an hour; rate: the last full second."""
-    events = read(spark, sf_dir)
+def _report_parts(spark, sf_dir):
+    """Buffered: the last gauges; rate: the last full second."""
+    events = _events(spark, sf_dir)
     last = events.agg(F.max("timestamp").alias("t"))
-    waiting = events.where(F.col("timestamp") > last.scalar() - F.lit(HOUR))
     rate = events.where(F.col("timestamp") == last.scalar()).agg(F.count("*").alias("events_per_sec"))
-    return events, accounting.batch_sizes(waiting), rate
+    return events, monitor.buffered(inputs.counter_samples(spark, sf_dir), "w0"), rate
 
 
 @query
@@ -553,8 +596,9 @@ def health_report(spark, sf_dir):
 
 @query
 def metrics_report(spark, sf_dir):
-    events, sizes, rate = _report_parts(spark, sf_dir, _kept_events)
-    counters = accounting.ingest_counters(_batches(spark, sf_dir), _packed_manifest(spark, sf_dir))
+    """Counters from the job's own record; gauges from the samples."""
+    events, sizes, rate = _report_parts(spark, sf_dir)
+    counters = monitor.recorded_counters(metrics.counter_samples(spark, _recorded_ingest(spark, sf_dir)))
     live = accounting.live_ids(events, ["event_id"], NOW, 300)
     flushed = events.agg((F.lit(NOW + 30 * 86_400) - F.max("timestamp")).cast("double").alias("last_flush_ago_s"))
     return monitor.metrics_report(counters, sizes, rate, live, flushed, "w0")
@@ -692,3 +736,44 @@ def stream_dedup_event_clock(spark, sf_dir):
     return _dedup_stream(spark, sf_dir, "event_clock").groupBy("event_type").agg(
         F.count_distinct("user_id").alias("users")
     )
+
+
+def _late_files(spark, sf_dir) -> DataFrame:
+    """Accepted events as a stream of four files, one per week of the table's span, some of them late.
+
+    Every fifth event of the last half day of a week comes with the next week; every 17th event of the first week comes with the last.
+    """
+    events = _events(spark, sf_dir).select("event_id", "timestamp", "payload")
+    span = events.agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("last")).head()
+    week = (span["last"] - span["first"]) // QUARTERS + 1
+    at, no = F.col("timestamp") - span["first"], F.col("event_id").cast("long")
+    slow = (no % 5 == 0) & (at % week >= week - HALF_DAY) & (at < (QUARTERS - 1) * week)
+    lost = (no % 17 == 0) & (at < week)
+    batch = F.when(lost, QUARTERS - 1).when(slow, F.floor(at / week) + 1).otherwise(F.floor(at / week))
+    source = shared_dir(spark, "late")
+    placed = events.withColumn("batch", batch).persist()
+    for k in range(QUARTERS):  # files are read in the order they were written
+        placed.where(F.col("batch") == k).drop("batch").coalesce(1).write.mode("append").parquet(source)
+    placed.unpersist()
+    return spark.readStream.schema("event_id string, timestamp long, payload string").option("maxFilesPerTrigger", "1").parquet(source)
+
+
+HALF_DAY = 43_200
+
+
+def _drained_table(spark, rows: DataFrame) -> DataFrame:
+    out = shared_dir(spark, "windows")
+    rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", shared_dir(spark, "checkpoint")).trigger(
+        availableNow=True).start().awaitTermination()
+    return spark.read.schema(rows.schema).parquet(out)
+
+
+@query
+def stream_events_per_second(spark, sf_dir):
+    """Seconds a day behind the last event; rows half a day late count, rows weeks late do not."""
+    return _drained_table(spark, events_per_second_stream(_late_files(spark, sf_dir), lateness_s=2 * HALF_DAY))
+
+
+@query
+def stream_flush_intervals(spark, sf_dir):
+    return _drained_table(spark, interval_sizes_stream(_late_files(spark, sf_dir), lateness_s=2 * HALF_DAY))

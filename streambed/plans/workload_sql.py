@@ -99,12 +99,45 @@ PER_SHARD = (
 
 QUANTILES = "(SELECT unnest([0.5, 0.95, 0.99]) AS prob)"
 
+SAMPLES_AFTER_BASE = SAMPLES_SQL[len(BASE_SQL) + 2:]
+
 REPORT_PARTS = (
-    f"{MESSAGES_SQL}, last AS (SELECT max(sec) AS t FROM accepted), "
-    "waiting AS (SELECT count(*) AS n, coalesce(sum(bytes), 0) AS b FROM accepted, last WHERE sec > t - 3600), "
+    f"{MESSAGES_SQL}, {SAMPLES_AFTER_BASE}, last AS (SELECT max(sec) AS t FROM accepted), "
+    "gauges AS (SELECT coalesce(arg_max(value, ts) FILTER (WHERE name = 'buffer_events'), 0) AS n, "
+    "coalesce(arg_max(value, ts) FILTER (WHERE name = 'buffer_bytes'), 0) AS b FROM samples WHERE instance = 'w0'), "
     "rate AS (SELECT count(*) AS eps FROM accepted, last WHERE sec = t)"
 )
 
+# Every tenth message is sent twice; a batch of the four flushes one segment, every second one at its second attempt.
+RECORDED = (
+    f"{MESSAGES_SQL}, recorded AS (SELECT count(*) FILTER (WHERE reason = '') AS consumed, "
+    "count(*) FILTER (WHERE reason = '' AND event_id % 10 = 0) AS duplicates, "
+    "count(*) FILTER (WHERE reason <> '') + count(*) FILTER (WHERE reason <> '' AND event_id % 10 = 0) AS rejected, "
+    "count(*) FILTER (WHERE reason = '') AS flushed, count(DISTINCT event_id % 4) FILTER (WHERE reason = '') AS uploads, "
+    "count(DISTINCT event_id % 4) // 2 AS failed_flushes FROM messages)"
+)
+
+
+def trailing_sql(name: str, window: int, step: int) -> str:
+    """A RANGE frame over the increases, read at every step that has a sample in its window."""
+    w, s = window * 1_000_000, step * 1_000_000
+    return (
+        f"WITH {SAMPLES_SQL}, d AS (SELECT *, epoch_us(ts) AS us, lag(value) OVER (PARTITION BY name, instance ORDER BY ts) AS prev "
+        f"FROM samples WHERE name = '{name}'), i AS (SELECT name, instance, us, CASE WHEN prev IS NULL THEN 0 WHEN value >= prev "
+        "THEN value - prev ELSE value END AS up, false AS step FROM d), "
+        f"t AS (SELECT DISTINCT name, instance, unnest(range((us + {s - 1}) // {s} * {s}, us + {w}, {s})) AS us FROM i), "
+        "u AS (SELECT * FROM i UNION ALL SELECT name, instance, us, 0, true FROM t), "
+        f"r AS (SELECT *, sum(up) OVER (PARTITION BY name, instance ORDER BY us RANGE BETWEEN {w - 1} PRECEDING AND CURRENT ROW) AS total FROM u) "
+        f"SELECT name, instance, us // 1000000 AS at, round(total / {window}.0::DOUBLE, 6) AS per_second FROM r WHERE step"
+    )
+
+
+# Weeks of the table's span; rows of the first that come with the last are behind the watermark by then.
+LATE_SQL = (
+    f"{MESSAGES_SQL}, span AS (SELECT min(sec) AS a, max(sec) AS z, (max(sec) - min(sec)) // 4 + 1 AS week FROM accepted), "
+    "counted AS (SELECT sec, bytes, z FROM accepted, span WHERE NOT (event_id % 17 = 0 AND sec - a < week))"
+)
+
 ORACLES: dict[str, str] = {
     "decode_validate_events": f"WITH {MESSAGES_SQL} SELECT concat('', event_id) AS event_id, ref AS reference_id, "
     "sec AS timestamp, category, event_type, bytes AS payload_bytes FROM accepted",
@@ -200,12 +233,12 @@ ORACLES: dict[str, str] = {
     "CAST(sum(bytes + 1) AS BIGINT) AS bytes, CAST(0 AS BIGINT) AS size_mismatches FROM accepted",
     "batch_bytes": f"WITH {MESSAGES_SQL} SELECT event_type, count(*) AS events, CAST(sum(bytes) AS BIGINT) AS bytes "
     "FROM accepted GROUP BY 1",
-    "ingest_counters": packing_sql(
-        500, 60_000,
-        f", {RESULTS_SQL.split('), ', 1)[1]} SELECT (SELECT count(*) FROM accepted) AS consumed, CAST(0 AS BIGINT) AS duplicates, "
-        "(SELECT count(*) FROM messages WHERE reason <> '') AS rejected, (SELECT count(*) FROM f) AS flushed, "
-        "(SELECT count(DISTINCT concat(part, '-', seg)) FROM f) AS uploads, "
-        "(SELECT count(*) FROM results WHERE failed) AS failed_flushes"),
+    "ingest_counters": f"WITH {RECORDED} SELECT consumed, duplicates, rejected, flushed, uploads, failed_flushes FROM recorded",
+    "flush_success_recorded": f"WITH {RECORDED}, p AS (SELECT *, 100 - failed_flushes / (uploads + failed_flushes + 0.001::DOUBLE) * 100 AS pct FROM recorded) "
+    "SELECT 'w0' AS instance, uploads, failed_flushes AS failures, round(pct, 6) AS success_pct, CASE WHEN pct >= 99.9 THEN 'green' "
+    "WHEN pct >= 99 THEN 'yellow' ELSE 'red' END AS band FROM p",
+    "recorded_stages": f"WITH {RECORDED} SELECT 'w0' AS instance, unnest(['event_processing_duration_seconds', 'kafka_fetch_duration_seconds', "
+    "'s3_upload_duration_seconds', 'flush_duration_seconds', 'wal_write_duration_seconds']) AS stage, uploads AS n FROM recorded",
     "events_per_second": f"WITH {MESSAGES_SQL} SELECT sec AS second, count(*) AS events FROM accepted GROUP BY 1",
     "live_ids": f"WITH {BASE_SQL} SELECT count(DISTINCT concat(user_id, '/', event_type)) AS live_ids FROM base "
     "WHERE sec BETWEEN 1705363200 - 21600 AND 1705363200",
@@ -218,6 +251,8 @@ ORACLES: dict[str, str] = {
     "round(s / n, 6) AS s_per_event FROM d",
     "counter_rate_1m": RATE_SQL.format(samples=SAMPLES_SQL, name="events_consumed_total"),
     "flushed_rate_1m": RATE_SQL.format(samples=SAMPLES_SQL, name="events_flushed_total"),
+    "counter_rate_trailing": trailing_sql("events_consumed_total", 60, 30),
+    "flushed_rate_trailing": trailing_sql("events_flushed_total", 3600, 1800),
     "latest_totals": f"WITH {SAMPLES_SQL} SELECT name, instance, {LATEST} AS value FROM samples GROUP BY 1, 2",
     "flush_success_pct": SIDE_BY_SIDE.format(samples=SAMPLES_SQL, a="s3_uploads_total", b="flush_failures_total")
     + ", p AS (SELECT *, 100 - b / (a + b + 0.001::DOUBLE) * 100 AS pct FROM l) SELECT instance, a AS uploads, b AS failures, "
@@ -236,6 +271,8 @@ ORACLES: dict[str, str] = {
     "stage_latency_overall": f"WITH {TIMINGS_SQL}, q AS (SELECT stage, quantile_cont(seconds, [0.5, 0.95, 0.99]) AS qs "
     "FROM timings GROUP BY 1) SELECT stage, unnest([0.5::DOUBLE, 0.95::DOUBLE, 0.99::DOUBLE]) AS prob, "
     "round(unnest(qs), 6) AS quantile FROM q",
+    "stage_latency_sketched": f"WITH {TIMINGS_SQL}, w AS (SELECT stage, unnest(range({DAY} - 518400, {DAY} + 86400, 86400)) AS window_start FROM timings) "
+    "SELECT stage, window_start, count(*) AS n, prob, true AS within FROM w, (SELECT unnest([0.5::DOUBLE, 0.95::DOUBLE, 0.99::DOUBLE]) AS prob) GROUP BY ALL",
     "histogram_buckets": f"WITH {TIMINGS_SQL}, e AS (SELECT unnest([0.001, 0.005, 0.01, 0.02, 0.03, 0.05])::DOUBLE AS le) "
     "SELECT stage, le, count(*) FILTER (WHERE seconds <= le) AS n FROM timings, e GROUP BY 1, 2",
     "histogram_quantile": f"WITH {TIMINGS_SQL}, e AS (SELECT unnest([0.001::DOUBLE, 0.005, 0.01, 0.02, 0.03, 0.05, 'inf'::DOUBLE]) AS le), "
@@ -246,17 +283,14 @@ ORACLES: dict[str, str] = {
     "ELSE coalesce(lo, 0) + (le - coalesce(lo, 0)) * (rank - below) / (n - below) END, 6) AS quantile FROM r "
     "WHERE n >= rank AND (below < rank OR lo IS NULL)",
     "health_report": f"WITH {REPORT_PARTS} SELECT 'ok' AS status, 'w0' AS instance_id, n AS buffer_events, "
-    "round(b / 1048576.0::DOUBLE, 2) AS buffer_mb, eps AS events_per_sec FROM waiting, rate",
-    "metrics_report": packing_sql(
-        500, 60_000,
-        f", {REPORT_PARTS[len(MESSAGES_SQL) + 2:]} SELECT 'w0' AS instance_id, (SELECT count(*) FROM accepted) AS total_consumed, "
-        "(SELECT count(*) FROM f) AS total_flushed, eps AS events_per_sec, (SELECT count(DISTINCT concat(part, '-', seg)) FROM f) "
-        "AS total_uploads, CAST(0 AS BIGINT) AS failed_flushes, (SELECT count(*) FROM messages WHERE reason <> '') AS rejected_count, "
-        "CAST(0 AS BIGINT) AS duplicates_filtered, n AS buffer_events, round(b / 1048576.0::DOUBLE, 2) AS buffer_mb, "
-        "CAST(10000 AS BIGINT) AS buffer_limit_events, CAST(20 AS BIGINT) AS buffer_limit_mb, "
-        "CAST(1705363200 + 2592000 - (SELECT max(sec) FROM accepted) AS DOUBLE) AS last_flush_ago_s, "
-        "(SELECT count(DISTINCT event_id) FROM accepted WHERE sec BETWEEN 1705363200 - 300 AND 1705363200) AS dedup_cache_size "
-        "FROM waiting, rate"),
+    "round(b / 1048576.0::DOUBLE, 2) AS buffer_mb, eps AS events_per_sec FROM gauges, rate",
+    "metrics_report": f"WITH {REPORT_PARTS}, {RECORDED[len(MESSAGES_SQL) + 2:]} SELECT 'w0' AS instance_id, consumed AS total_consumed, "
+    "flushed AS total_flushed, eps AS events_per_sec, uploads AS total_s3_uploads, failed_flushes, rejected AS dlq_count, "
+    "duplicates AS duplicates_filtered, n AS buffer_events, round(b / 1048576.0::DOUBLE, 2) AS buffer_mb, "
+    "CAST(10000 AS BIGINT) AS buffer_limit_events, CAST(20 AS BIGINT) AS buffer_limit_mb, "
+    "CAST(1705363200 + 2592000 - (SELECT max(sec) FROM accepted) AS DOUBLE) AS last_flush_ago_s, "
+    "(SELECT count(DISTINCT event_id) FROM accepted WHERE sec BETWEEN 1705363200 - 300 AND 1705363200) AS dedup_cache_size "
+    "FROM gauges, rate, recorded",
     "index_entries_per_shard": PER_SHARD,
     "index_compacted": f"WITH RECURSIVE {MESSAGES_SQL}, {shards_sql(16)} SELECT shard, count(*) AS entries, count(*) AS row_keys, "
     "min(sec) AS first_ts FROM accepted JOIN shards USING (user_id) WHERE ref <> '' GROUP BY 1",
@@ -268,6 +302,9 @@ ORACLES: dict[str, str] = {
     "stream_ingest": f"WITH {MESSAGES_SQL}, sent AS (SELECT * FROM messages UNION ALL SELECT * FROM messages "
     "WHERE event_id % 10 = 0 AND reason <> '') SELECT reason, count(*) AS n, CAST(sum(strlen(value)) AS BIGINT) AS bytes "
     "FROM sent GROUP BY 1",
+    "stream_events_per_second": f"WITH {LATE_SQL} SELECT sec AS second, count(*) AS events FROM counted WHERE sec + 1 <= z - 86400 GROUP BY 1",
+    "stream_flush_intervals": f"WITH {LATE_SQL} SELECT sec - sec % 10 AS slot_start, sec - sec % 10 + 10 AS slot_end, count(*) AS events, "
+    "CAST(sum(bytes) AS BIGINT) AS bytes FROM counted WHERE sec - sec % 10 + 10 <= z - 86400 GROUP BY 1, 2",
     "stream_index": PER_SHARD,
     "stream_dedup": dedup_sql("user_id, event_type", "event_id", 3600, "event_id, user_id, event_type, sec AS timestamp"),
     "stream_dedup_arrival_clock": "SELECT DISTINCT user_id, event_type FROM events",

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: where a new consumer group starts.
 STARTING_OFFSETS = "earliest"
+# Partitions that arrival numbers tell apart.
+MOST_PARTITIONS = 1 << 20
 # A file stream skips files this much older than the newest one; far beyond any file's age.
 MAX_FILE_AGE = "36500d"
 
@@ -54,6 +56,10 @@ def with_arrival(messages: DataFrame, name: str = "arrival") -> DataFrame:
     """Number messages in arrival order; NULL where the source has no offsets.
 
     Offsets order the rows of one partition; rows of other partitions arrived at the same
-    time, so any order among them will do. Partitions interleave without a shuffle.
+    time, so any order among them will do. Partitions interleave without a shuffle. A number is of its own for
+    up to ``MOST_PARTITIONS`` partitions of up to 2^43 messages; beyond either this fails.
     """
-    return messages.withColumn(name, F.col("offset") * (1 << 13) + F.col("partition"))
+    number = F.col("offset") * MOST_PARTITIONS + F.col("partition")
+    fits = (F.col("partition") < MOST_PARTITIONS) & (F.col("offset") < (1 << 43))
+    wrong = F.raise_error(F.lit("too many partitions or offsets to number messages by arrival"))
+    return messages.withColumn(name, F.when(F.col("offset").isNull() | fits, number).otherwise(wrong.cast("bigint")))

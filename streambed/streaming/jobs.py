@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +21,7 @@ from ..sources.listing import SegmentListing, listing_options
 from ..sources.messages import read_messages, with_arrival
 from ..sources.segments import stream_segment_lines
 from .dedup import dedup_stream, drained
+from .recorder import OBSERVED, IngestRecorder
 
 
 def _trigger(interval: str, once: bool) -> dict:
@@ -33,33 +35,42 @@ def _checkpoint(conf: IngestConf | IndexConf) -> str:
     return conf.checkpoint
 
 
+def _observed(decoded: DataFrame, name: str = OBSERVED) -> DataFrame:
+    """Count valid messages as they pass; progress events report it per micro-batch."""
+    return decoded.observe(name, F.count(F.when(F.col("reason").isNull(), 1)).alias("valid"))
+
+
 def run_ingest(spark: SparkSession, conf: IngestConf, once: bool = False) -> StreamingQuery:
     """Messages to segments, one flush per micro-batch; ``once`` drains and stops.
 
     Valid and rejected rows travel in one stream and read the source once: a reject
     passes the dedup under a key of its own. Only the event clock, which would hold a
     reject's missing time against it, reads the source a second time for rejects.
+
+    Counts and times of every batch are recorded (``sinks.metrics``): what was flushed with the flush, what the dedup dropped
+    when the batch's progress is known. The query's ``recorder`` listens to that; ``settle`` it after a query stopped.
     """
     decoded = decode_events(with_arrival(read_messages(spark, conf.source, stream=True)), conf.strict)
     decoded = decoded.withColumn("timestamp", F.coalesce("timestamp", F.lit(0)))
     valid = F.col("reason").isNull()
     window = conf.dedup_window_s
     if window is None:
-        kept = decoded
+        kept = _observed(decoded)
     elif conf.dedup_mode == "event_clock":
         kept = dedup_stream(
-            decoded.where(valid), ["event_id"], "timestamp", window, "event_clock"
+            _observed(decoded.where(valid)), ["event_id"], "timestamp", window, "event_clock"
         ).unionByName(decoded.where(~valid))
     else:
         key = F.when(valid, F.concat(F.lit("e:"), "event_id")).otherwise(
             F.concat(F.lit("r:"), F.uuid())
         )
         kept = dedup_stream(
-            decoded.withColumn("__id", key), ["__id"], "timestamp", window, conf.dedup_mode
+            _observed(decoded).withColumn("__id", key), ["__id"], "timestamp", window, conf.dedup_mode
         ).drop("__id")
+    recorder = IngestRecorder(spark, conf.root, conf.instance)
 
     def flush(batch: DataFrame, batch_id: int) -> None:
-        flush_batch(batch, conf, batch_id)
+        recorder.flushed(batch_id, flush_batch(batch, conf, batch_id))
 
     writer = (
         kept.writeStream.foreachBatch(flush)
@@ -67,8 +78,38 @@ def run_ingest(spark: SparkSession, conf: IngestConf, once: bool = False) -> Str
         .trigger(**_trigger(conf.trigger, once))
         .queryName(f"ingest-{conf.instance}")
     )
+    spark.streams.addListener(recorder)
     with drained(spark, once):
-        return writer.start()
+        query = writer.start()
+    recorder.query_id = str(query.id)
+    query.recorder = recorder
+    return query
+
+
+def drain_ingest(spark: SparkSession, conf: IngestConf, attempts: int = 3) -> None:
+    """Run the ingest job until its input is drained and its record is complete.
+
+    A flush that fails ends the query, which then starts again from its checkpoint with the same batch, at most
+    ``attempts`` times without a batch coming through in between.
+    """
+    left, last = attempts, -1
+    while True:
+        query = run_ingest(spark, conf, once=True)
+        failed = None
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            failed = error
+        finally:
+            query.recorder.settle(query)
+            spark.streams.removeListener(query.recorder)
+        if failed is None:
+            return
+        done = max((p.batchId for p in query.recentProgress), default=last)
+        left, last = (attempts, done) if done > last else (left, last)
+        left -= 1
+        if left <= 0:
+            raise failed
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:

@@ -1,41 +1,108 @@
-"""Duplicates are counted where the dedup drops them."""
+"""The ingest jobs record what they do: counts, failures, times; the monitoring queries read that."""
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from streambed.plans import inputs, workload
+from streambed.plans import monitor
 from streambed.plans.ingest import IngestConf, ingest_batch
+from streambed.sinks import metrics
+from streambed.sinks.segments import write_segments
+from streambed.sources.messages import MOST_PARTITIONS, with_arrival
+from streambed.streaming.jobs import drain_ingest
 
-SF = "/root/testdata/sf0.001"
-
-
-def test_counters_and_report_count_repeated_messages(spark, monkeypatch):
-    once = inputs.messages(spark, SF)
-    before = {name: workload.QUERIES[name](spark, SF).head() for name in ("ingest_counters", "metrics_report")}
-    last = once.agg(F.max("arrival")).head()[0] + 1
-    copied = once.where("arrival % 10 < 3")
-    valid = workload._events(spark, SF).where("arrival % 10 < 3").count()
-    copies = copied.withColumn("arrival", F.col("arrival") + last)
-    monkeypatch.setattr(inputs, "messages", lambda *_: once.unionByName(copies))
-    counters, report = (workload.QUERIES[name](spark, SF).head() for name in ("ingest_counters", "metrics_report"))
-    rejected = before["ingest_counters"].rejected + copied.count() - valid
-    assert valid > 0 and before["ingest_counters"].duplicates == before["metrics_report"].duplicates_filtered == 0
-    assert counters.duplicates == report.duplicates_filtered == valid
-    assert counters.consumed == report.total_consumed == before["ingest_counters"].consumed
-    assert report.buffer_events == before["metrics_report"].buffer_events
-    assert counters.flushed == report.total_flushed == before["ingest_counters"].flushed
-    assert counters.rejected == report.rejected_count == rejected
-
-
-def test_ingest_batch_counts_what_it_drops(spark, tmp_path):
-    def row(event, second, n):
-        value = json.dumps({"_event_id": event, "_event_timestamp": f"2024-01-01T00:{second // 60:02}:{second % 60:02}Z", "_category": "c"})
-        return value, "t", 0, n, n
-
-    rows = [row("a", 0, 0), row("a", 10, 1), row("b", 0, 2), row("a", 301, 3), row("b", 300, 4), ("{", "t", 0, 5, 5), ("{", "t", 0, 6, 6)]
+
+def text(event, second=0):
+    return json.dumps({"_event_id": event, "_event_timestamp": f"2024-01-01T00:{second // 60:02}:{second % 60:02}Z", "_category": "c"})
+
+
+def totals(spark, root):
+    return monitor.recorded_counters(metrics.counter_samples(spark, root)).head().asDict()
+
+
+def test_ingest_batch_counts_and_records_what_it_drops(spark, tmp_path):
+    rows = [text("a"), text("a", 10), text("b"), text("a", 301), text("b", 300), "{", "{"]
+    rows = [(value, "t", 0, n, n) for n, value in enumerate(rows)]
     messages = spark.createDataFrame(rows, "value string, topic string, partition int, offset long, arrival long")
     conf = IngestConf(root=str(tmp_path / "out"))
-    for _ in range(2):  # a repeated batch is counted alike
+    for _ in range(2):  # a repeated batch is counted alike, and recorded once
         assert ingest_batch(messages, conf) == {"flushed": 3, "rejected": 2, "duplicates": 2}
     assert spark.read.parquet(f"{conf.root}/manifest").agg(F.sum("event_count")).head()[0] == 3
+    files = spark.read.parquet(f"{conf.root}/manifest").count()
+    assert totals(spark, conf.root) == {"consumed": 3, "duplicates": 2, "rejected": 2, "flushed": 3, "uploads": files, "failed_flushes": 0}
+    stored = spark.read.option("recursiveFileLookup", "true").text(f"{conf.root}/events")
+    assert sorted(r.value for r in stored.collect()) == sorted([rows[0][0], rows[2][0], rows[3][0]])
+    assert [tuple(r) for r in spark.read.parquet(f"{conf.root}/rejects").select("value", "reason").collect()] == [("{", "invalid JSON")] * 2
+
+
+def test_a_failed_flush_is_recorded_and_done_again(spark, tmp_path):
+    source, seen = tmp_path / "in", []
+    source.mkdir()
+    (source / "1.txt").write_text("".join(text(f"e{n}") + "\n" for n in range(20)) + text("e1") + "\nbad\n")
+
+    def flaky(events, *where):
+        seen.append(where[0])
+        if len(seen) in (1, 2, 4):
+            raise OSError("no answer")
+        return write_segments(events, *where)
+
+    conf = IngestConf(
+        root=str(tmp_path / "out"), source={"format": "text", "path": str(source)}, checkpoint=str(tmp_path / "checkpoint"), writer=flaky, write_tasks=1)
+    drain_ingest(spark, conf)
+    (source / "2.txt").write_text("".join(text(f"f{n}") + "\n" for n in range(5)) + text("e2") + "\n" + text("f1") + "\n")
+    drain_ingest(spark, conf)
+    assert seen == [0, 0, 0, 1, 1]
+    assert totals(spark, conf.root) == {"consumed": 25, "duplicates": 3, "rejected": 1, "flushed": 25, "uploads": 2, "failed_flushes": 3}
+    stages = {r.stage: r["count"] for r in metrics.stage_timings(spark, conf.root).groupBy("stage").count().collect()}
+    assert stages == dict.fromkeys(metrics.STAGES.values(), 2)
+    seen[:] = [0]
+    conf.writer = lambda *_: (_ for _ in ()).throw(OSError("never"))
+    (source / "3.txt").write_text(text("g") + "\n")
+    with pytest.raises(Exception, match="never"):
+        drain_ingest(spark, conf, attempts=2)
+    assert totals(spark, conf.root)["failed_flushes"] == 5
+
+
+def test_counters_run_on_over_days_and_none_recorded(spark, tmp_path):
+    root = str(tmp_path)
+    assert metrics.counter_samples(spark, root).count() == 0
+    for n in range(4):
+        metrics.record(spark, root, "w0", n, "flush", {metrics.FLUSHED: 5}, at=86_400.0 * n + 1)
+    values = [r.value for r in metrics.counter_samples(spark, root).orderBy("ts").collect()]
+    assert values == [5, 10, 15, 20]
+
+
+def test_arrival_numbers_are_of_their_own(spark):
+    rows = [(p, o) for p in (0, 8191, 8192, MOST_PARTITIONS - 1) for o in (0, 1, (1 << 43) - 1)]
+    numbered = with_arrival(spark.createDataFrame(rows, "partition int, offset long"))
+    found = {(r.partition, r.offset): r.arrival for r in numbered.collect()}
+    assert len(set(found.values())) == len(rows)
+    assert all(found[p, o] < found[q, r] for p, o in rows for q, r in rows if o < r)
+    with pytest.raises(Exception, match="too many partitions"):
+        with_arrival(spark.createDataFrame([(MOST_PARTITIONS, 1)], "partition int, offset long")).collect()
+
+
+@pytest.mark.parametrize("block", [60, 100, 86_400])
+def test_trailing_rate_across_blocks(spark, block):
+    at = [0, 10, 29.5, 30, 59, 60, 89.999999, 90, 150, 400, 401]
+    value = [5, 7, 9, 9, 20, 3, 4, 10, 11, 30, 31]
+    rows = [(metrics.CONSUMED, "w0", 1000.0 * 90 + t, v) for t, v in zip(at, value, strict=True)]
+    samples = spark.createDataFrame(rows, "name string, instance string, s double, value long").selectExpr(
+        "name", "instance", "timestamp_micros(cast(round(s * 1000000) as bigint)) as ts", "value")
+    got = {r["at"] - 90_000: r.per_second for r in monitor.trailing_rate(samples, metrics.CONSUMED, block_s=block).collect()}
+    ups = [(t, 0 if k == 0 else v - value[k - 1] if v >= value[k - 1] else v) for k, (t, v) in enumerate(zip(at, value, strict=True))]
+    want = {}
+    for step in range(0, 600, 30):
+        inside = [u for t, u in ups if step - 60 < t <= step]
+        if inside:
+            want[step] = sum(inside) / 60
+    assert got == want
+
+
+def test_sketches_are_near_and_bounded(spark):
+    from streambed.operators.quantiles import rank_error, sketched_quantiles
+    rows = spark.range(200_000).selectExpr("id % 7 as step", "cast(id * 7919 % 200000 as double) as v")
+    made = sketched_quantiles(rows, ["step"], "v", (0.0, 0.5, 0.99, 1.0), ["all"], {"all": F.lit(1)}).collect()
+    assert all(r.n == 200_000 and abs(r["quantile"] / 200_000 - r.prob) <= rank_error() for r in made) and len(made) == 4
+    assert sketched_quantiles(rows.limit(0), ["step"], "v", (0.5,), ["step"]).count() == 0
