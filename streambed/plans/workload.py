@@ -20,7 +20,7 @@ from ..sinks.segments import label_by_task, write_rejects, write_segments
 from ..sources.messages import read_messages
 from ..sources.segments import list_segments, manifest_listing, read_segment_lines
 from ..sources.staged import reload_staged
-from ..streaming.dedup import dedup_stream, drained
+from ..streaming.dedup import dedup_stream, drained, state_ids
 from ..streaming.jobs import drain_ingest, run_index, run_ingest
 from ..streaming.windows import events_per_second_stream, interval_sizes_stream
 from . import inputs, monitor
@@ -725,6 +725,35 @@ def stream_dedup(spark, sf_dir):
     return _dedup_stream(spark, sf_dir, "keep_late")
 
 
+def _dedup_batches(spark, sf_dir) -> tuple[DataFrame, str]:
+    """``stream_dedup`` in five micro-batches by arrival: what was kept, and the checkpoint."""
+    source, out, checkpoint = (shared_dir(spark, x) for x in ("pairs", "kept", "checkpoint"))
+    pairs = _pairs(spark, sf_dir).withColumn("arrival", F.col("event_id")).persist()
+    last = pairs.agg(F.max("arrival")).head()[0] or 0
+    for k in range(5):  # files are read in the order they were written
+        pairs.where((F.col("arrival") * 5 >= k * (last + 1)) & (F.col("arrival") * 5 < (k + 1) * (last + 1))).coalesce(1).write.mode("append").parquet(source)
+    pairs.unpersist()
+    rows = spark.readStream.schema(pairs.schema).option("maxFilesPerTrigger", "1").parquet(source)
+    kept = dedup_stream(rows, ["user_id", "event_type"], "timestamp", HOUR)
+    writer = kept.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    with drained(spark):
+        writer.start().awaitTermination()
+    return spark.read.schema(kept.schema).parquet(out), checkpoint
+
+
+@query
+def stream_dedup_across_batches(spark, sf_dir):
+    return _dedup_batches(spark, sf_dir)[0].drop("arrival")
+
+
+@query
+def live_ids_from_state(spark, sf_dir):
+    """Ids the stream still knows, and those of them that a repeat within six hours before ``NOW`` would meet."""
+    state = state_ids(spark, _dedup_batches(spark, sf_dir)[1])
+    recent = F.col("last").between(NOW - 6 * HOUR, NOW)
+    return state.agg(F.count("*").alias("known_ids"), F.count_if(recent).alias("live_ids"), F.sum("last").cast("long").alias("last_kept"))
+
+
 @query
 def stream_dedup_arrival_clock(spark, sf_dir):
     """Within one micro-batch an id passes once."""

@@ -307,6 +307,10 @@ ORACLES: dict[str, str] = {
     "CAST(sum(bytes) AS BIGINT) AS bytes FROM counted WHERE sec - sec % 10 + 10 <= z - 86400 GROUP BY 1, 2",
     "stream_index": PER_SHARD,
     "stream_dedup": dedup_sql("user_id, event_type", "event_id", 3600, "event_id, user_id, event_type, sec AS timestamp"),
+    "stream_dedup_across_batches": dedup_sql("user_id, event_type", "event_id", 3600, "event_id, user_id, event_type, sec AS timestamp"),
+    "live_ids_from_state": "SELECT count(*) AS known_ids, count(*) FILTER (WHERE last BETWEEN 1705363200 - 21600 AND 1705363200) AS live_ids, "
+    "CAST(sum(last) AS BIGINT) AS last_kept FROM (SELECT max(timestamp) AS last FROM ("
+    + dedup_sql("user_id, event_type", "event_id", 3600, "user_id, event_type, sec AS timestamp") + ") GROUP BY user_id, event_type)",
     "stream_dedup_arrival_clock": "SELECT DISTINCT user_id, event_type FROM events",
     "stream_dedup_event_clock": "SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY 1",
 }

@@ -44,7 +44,7 @@ def run_ingest(spark: SparkSession, conf: IngestConf, once: bool = False) -> Str
     """Messages to segments, one flush per micro-batch; ``once`` drains and stops.
 
     Valid and rejected rows travel in one stream and read the source once: a reject
-    passes the dedup under a key of its own. Only the event clock, which would hold a
+    passes the dedup. Only the event clock, which would hold a
     reject's missing time against it, reads the source a second time for rejects.
 
     Counts and times of every batch are recorded (``sinks.metrics``): what was flushed with the flush, what the dedup dropped
@@ -61,9 +61,9 @@ def run_ingest(spark: SparkSession, conf: IngestConf, once: bool = False) -> Str
             _observed(decoded.where(valid)), ["event_id"], "timestamp", window, "event_clock"
         ).unionByName(decoded.where(~valid))
     else:
-        key = F.when(valid, F.concat(F.lit("e:"), "event_id")).otherwise(
-            F.concat(F.lit("r:"), F.uuid())
-        )
+        # A reject has no id; only the built-in dedup, which would take those for one, gives it one of its own.
+        own = F.concat(F.lit("r:"), F.uuid()) if conf.dedup_mode == "arrival_clock" else F.lit(None).cast("string")
+        key = F.when(valid, F.concat(F.lit("e:"), "event_id")).otherwise(own)
         kept = dedup_stream(
             _observed(decoded).withColumn("__id", key), ["__id"], "timestamp", window, conf.dedup_mode
         ).drop("__id")

@@ -1,12 +1,14 @@
 import os
+import time
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from streambed.plans.ingest import IngestConf
 from streambed.sources.segments import read_segment_lines
-from streambed.streaming.dedup import dedup_stream, drained
+from streambed.streaming.dedup import dedup_stream, drained, opened, state_ids
 from streambed.streaming.jobs import run_ingest
 
 BATCHES = [
@@ -50,6 +52,42 @@ def test_late_rows_are_kept_in_one_or_many_batches(spark, tmp_path, per_trigger)
     assert feed(spark, tmp_path, "keep_late", BATCHES, per_trigger) == WANT
 
 
+def test_a_step_of_all_ids_is_the_row_by_row_rule():
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        n = int(rng.integers(0, 60))
+        ids, ts, order = rng.integers(0, 7, n).astype(str).astype(object), rng.integers(0, 900, n), rng.permutation(n)
+        last = {str(k): int(rng.integers(0, 900)) for k in range(0, 9, 2)}
+        keep, found = opened(ids, ts, order, pd.Series(last, dtype=np.int64), 300)
+        want, now = set(), dict(last)
+        for k in sorted(range(n), key=lambda k: order[k]):
+            if ids[k] not in now or ts[k] - now[ids[k]] > 300:
+                want.add(k)
+                now[ids[k]] = int(ts[k])
+        assert set(np.flatnonzero(keep)) == want and dict(found) == {i: now[i] for i in set(ids)}
+
+
+def test_state_is_narrow_and_readable(spark, tmp_path):
+    batches = [[("a", 0), (None, 5), (None, 5)], [("a", 100), ("b", 2000), (None, 5)], [("a", 400)]]
+    assert feed(spark, tmp_path, "keep_late", batches) == [("a", 0), (None, 5), (None, 5), ("b", 2000), (None, 5), ("a", 400)]
+    state = state_ids(spark, str(tmp_path / "checkpoint"))
+    assert {r.id: r.last for r in state.collect()} == {"a": 400, "b": 2000} and state.columns == ["id", "last", "seen"]
+
+
+def test_old_ids_leave_the_state(spark, tmp_path):
+    """With a window of a second the clock passes it between batches; times are long ago."""
+    source = tmp_path / "in"
+    source.mkdir()
+    stream = spark.readStream.schema("id string, ts long, arrival long").option("maxFilesPerTrigger", "1").parquet(str(source))
+    kept = dedup_stream(stream, ["id"], "ts", 1, "keep_late", buckets=1)
+    for at, name in enumerate(["a", "b"]):
+        pd.DataFrame([(name, 10, at)], columns=["id", "ts", "arrival"]).to_parquet(source / f"{at}.parquet")
+        with drained(spark):
+            kept.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+        time.sleep(2.1)
+    assert [r.id for r in state_ids(spark, str(tmp_path / "checkpoint")).collect()] == ["b"]
+
+
 def test_event_clock_drops_late_rows(spark, tmp_path):
     got = feed(spark, tmp_path, "event_clock", BATCHES)
     # Which of the copies inside one micro-batch stays is open; that late2 goes is not.
