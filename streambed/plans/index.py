@@ -20,7 +20,7 @@ from ..operators.indexing import (
 )
 from ..session import cut
 from ..sinks.commits import CommitLog, State
-from ..sinks.index import COMPACTION_THRESHOLD, compact, compaction_due, new_folder, pending_deltas, write_delta
+from ..sinks.index import BASELINE_BUCKETS, COMPACTION_THRESHOLD, compact, compaction_due, new_folder, pending_deltas, write_delta
 from ..sources.segments import list_segments, manifest_listing, read_segment_lines
 
 SEGMENT_RESULTS = "bucket string, key string, indexed long, malformed long, skipped long, error string"
@@ -38,6 +38,8 @@ class IndexConf:
     max_line_bytes: int | None = None
     strict_reference: bool = False
     max_files_per_trigger: int = 10_000
+    # Buckets of a baseline: as many tasks merge it.
+    baseline_buckets: int = BASELINE_BUCKETS
     # How segments are found: ``folders`` or the writers' ``manifest`` (batch), ``seen_files`` or ``start_after`` (stream).
     listing: str = ""
     # Whether a cursor passes segments that failed; else it stops before the first.
@@ -72,7 +74,7 @@ def compact_due(spark: SparkSession, conf: IndexConf) -> list[int]:
     """Compact shards at the threshold; their numbers (there are ``num_shards`` at most)."""
     due = compaction_due(pending_deltas(spark, conf.root), conf.num_shards, conf.compaction_threshold)
     shards = [row.shard for row in due.collect()]
-    compact(spark, conf.root, shards)
+    compact(spark, conf.root, shards, conf.baseline_buckets)
     return shards
 
 

@@ -114,15 +114,16 @@ def test_a_stream_that_lost_its_checkpoint_is_another_stream(spark, tmp_path):
     assert len(held(spark, conf)) == 20 and sorted(state["streams"].values()) == [0, 0]
 
 
-def test_merged_files_go_after_a_while(spark, tmp_path):
-    conf = conf_for(tmp_path, compaction_threshold=2)
+def test_merged_files_go_after_a_while(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(commits, "RETIRE_AFTER", 3)
+    conf = conf_for(tmp_path, compaction_threshold=2, baseline_buckets=1)
     counts = []
-    for n in range(14):
+    for n in range(10):
         put(tmp_path / "b", f"events/{100 + n}/w/s.ndjson", lines(n, n + 3))
         run_index_cycle(spark, conf)
         counts.append(sum(len(files) for _, _, files in os.walk(conf.root)))
-    assert len(held(spark, conf)) == 16
-    assert max(counts[8:]) <= max(counts[:8]) + 4  # no growth once folders begin to go
+    assert len(held(spark, conf)) == 12
+    assert max(counts[7:]) <= max(counts[:7]) + 2  # no growth once folders begin to go
     named = {d["path"] for d in CommitLog(spark, conf.root).latest()["deltas"]}
     assert named <= {f"delta/{n}" for n, _ in storage.children(spark, f"{conf.root}/delta")}
 
@@ -132,28 +133,67 @@ def test_compaction_keeps_what_comes_meanwhile(spark, tmp_path, monkeypatch):
     conf = conf_for(tmp_path)
     put(tmp_path / "b", "events/1/w/s.ndjson", lines(0, 50))
     run_index_cycle(spark, conf)
-    write, shards = index._write, list(range(4))
+    write, shards = index._write_buckets, list(range(4))
 
-    def slow(entries, path):
-        write(entries, path)
-        if "/baseline/" in path:
-            put(tmp_path / "b", "events/2/w/s.ndjson", lines(50, 90))
-            run_index_cycle(spark, conf)
+    def slow(*args):
+        write(*args)
+        put(tmp_path / "b", "events/2/w/s.ndjson", lines(50, 90))
+        run_index_cycle(spark, conf)
 
-    monkeypatch.setattr(index, "_write", slow)
+    monkeypatch.setattr(index, "_write_buckets", slow)
     assert compact(spark, conf.root, shards)
     assert len(held(spark, conf)) == 90 and pending_deltas(spark, conf.root).count() > 0
 
-    def overtaken(entries, path):
-        monkeypatch.setattr(index, "_write", write)
-        write(entries, path)
+    def overtaken(*args):
+        monkeypatch.setattr(index, "_write_buckets", write)
+        write(*args)
         assert compact(spark, conf.root, shards)
 
-    monkeypatch.setattr(index, "_write", overtaken)
+    monkeypatch.setattr(index, "_write_buckets", overtaken)
     assert compact(spark, conf.root, shards) is None
     assert len(held(spark, conf)) == 90
 
 
+def exchanged(plan):
+    """Files below an exchange: which tables a physical plan shuffles."""
+    found, depth = set(), None
+    for text in plan.splitlines():
+        at = len(text) - len(text.lstrip(" :+-*(0123456789)"))
+        if depth is not None and at <= depth:
+            depth = None
+        if depth is None and "Exchange" in text and "Broadcast" not in text:
+            depth = at
+        elif depth is not None and "Location" in text:
+            found.add("baseline" if "baseline" in text else "delta")
+    return found
+
+
+def test_reading_and_compacting_shuffle_the_deltas_only(spark, tmp_path, monkeypatch):
+    from streambed.sinks import index
+    conf = conf_for(tmp_path, baseline_buckets=3)
+    put(tmp_path / "b", "events/1/w/s.ndjson", lines(0, 200))
+    run_index_cycle(spark, conf)
+    assert compact(spark, conf.root, range(4), 3)
+    put(tmp_path / "b", "events/2/w/s.ndjson", lines(150, 260))
+    run_index_cycle(spark, conf)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plans, write = [], index._write_buckets
+    monkeypatch.setattr(index, "_write_buckets", lambda rows, *more: (plans.append(rows), write(rows, *more)))
+    try:
+        plan = read_index(spark, conf.root)._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan and exchanged(plan) == {"delta"}
+        assert compact(spark, conf.root, [0, 1], 3)
+        assert exchanged(plans[0]._jdf.queryExecution().executedPlan().toString()) == {"delta"}
+        files = [f for _, _, names in os.walk(f"{conf.root}/baseline") for f in names if f.endswith(".parquet")]
+        assert len(files) <= 2 * 4 * 3
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    found = read_index(spark, conf.root).collect()
+    assert len(found) == 260 and {r.key for r in found if int(r.event_id[1:]) >= 150} == {"events/2/w/s.ndjson"}
+
+
 def test_the_second_cycle_lists_the_new_folders_only(spark, tmp_path, monkeypatch):
     for n in range(20):
         put(tmp_path / "b", f"events/{100 + n}/w/s.ndjson", line(f"e{n}"))
