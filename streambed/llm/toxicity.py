@@ -1,14 +1,17 @@
 """Toxicity by compression distance: two zstandard dictionaries and the windows they disagree about.
 
-One dictionary is trained on ordinary text. The other is trained on what sets toxic text apart: the
-windows of toxic documents that hold a byte sequence which toxic documents use far oftener, less
-those that also shorten ordinary words; as toxic text is mostly ordinary language, it follows the same ordinary content. A window that
-the toxic dictionary shortens by ``MARGIN`` bytes more than the ordinary one counts as a hit. Hits against the number
-of windows give the log-likelihood of toxic against ordinary writing, and a logistic curve, laid
+One dictionary is trained on ordinary text. The other is trained on what sets toxic text apart: as toxic text is mostly ordinary
+language, it holds the pieces of toxic windows made of byte sequences that toxic documents use far oftener, behind the same
+ordinary content. A window that the toxic dictionary shortens by ``MARGIN`` bytes more than the ordinary one counts as a
+hit. Hits against the number of windows give the log-likelihood of toxic against ordinary writing, and a logistic curve, laid
 so that the best cut of held-back training rows is at 0.7, makes it a score.
 
+What is telling is measured on the whole sample, whatever the languages in it: sequences of ``GRAMS`` bytes that at least
+``LEAST_DOCS`` toxic documents hold, ``ODDS`` times oftener than ordinary ones. Pieces that shorten ordinary
+windows too often (``SPARE``) are taken out again.
+
 Training sees a bounded sample of labelled rows (``SAMPLE_ROWS`` of each class, by hash order, texts of at most
-``SAMPLE_BYTES``); scoring reads every whole text where it is scanned, without a shuffle. A window is a run of
+``SAMPLE_BYTES``) and all of those texts; scoring reads every whole text where it is scanned, without a shuffle. A window is a run of
 letters and digits; of equal words in a run of texts one is compressed.
 
 Defined cases: null and empty texts, with no windows, score as the least suspicious text; words longer than
@@ -37,10 +40,17 @@ SAMPLE_ROWS = 2500
 SAMPLE_BYTES = 64 << 10
 WINDOW_BYTES = 48
 ORDINARY_BYTES = 24 << 10
-TOXIC_BYTES = 4 << 10
-#: Length of the byte sequences compared in training, and how much oftener toxic documents must use one.
-GRAM = 6
-ODDS = 8.0
+#: Room for telling pieces; the commonest stay where there are more.
+TOXIC_BYTES = 32 << 10
+#: Lengths of the byte sequences compared in training.
+GRAMS = (6, 8, 10)
+#: Toxic documents that must hold a sequence, and how much oftener than ordinary ones.
+LEAST_DOCS = 5
+ODDS = 5.0
+#: Hits in ordinary documents that a piece's sequences may have for one in toxic documents.
+SPARE = 0.3
+#: Rounds of taking out pieces that hit ordinary windows.
+PRUNINGS = 2
 MARGIN = 3
 THRESHOLD = 0.7
 LEVEL = 9
@@ -136,29 +146,39 @@ def drop_copies(texts: list[str], share: float = 0.3) -> list[str]:
     return kept
 
 
-def _telling_windows(toxic: list[str], ordinary: list[str]) -> list[bytes]:
-    """Windows of toxic texts with a byte sequence that toxic documents use far oftener."""
-    def frequencies(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = []
-        for text in texts:
-            data, offsets = _joined([" " + text + " "])
-            found.append(np.unique(Windows(Words(data, offsets, "alnum").low).all(GRAM)))
-        return np.unique(np.concatenate(found), return_counts=True)
-
-    grams, many = frequencies(toxic)
-    others, few = frequencies(ordinary)
-    place = np.minimum(np.searchsorted(others, grams), len(others) - 1)
-    against = np.where(others[place] == grams, few[place], 0)
-    chosen = grams[(many >= max(6, 0.01 * len(toxic))) & (many / len(toxic) >= ODDS * (against + 1) / len(ordinary))]
+def _telling_pieces(toxic: list[str], ordinary: list[str]) -> list[bytes]:
+    """Of each window of toxic texts the stretch of byte sequences that toxic documents use far oftener."""
+    spaced = [_joined([" " + text + " "]) for text in toxic]
+    words = [Words(data, offsets, "alnum") for data, offsets in spaced]
+
+    def frequencies(lows: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+        return np.unique(np.concatenate([np.unique(Windows(low).all(size)) for low in lows]), return_counts=True)
+
+    others = [Words(*_joined([" " + text + " "]), "alnum").low for text in ordinary]
+    marks = [np.zeros(len(w.low) + 1, np.int32) for w in words]
+    spans = [split_windows(w) for w in words]
+    for size in GRAMS:
+        grams, many = frequencies([w.low for w in words], size)
+        known, few = frequencies(others, size)
+        if not len(known):
+            against = np.zeros(len(grams))
+        else:
+            place = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+            against = np.where(known[place] == grams, few[place], 0)
+        chosen = grams[(many >= LEAST_DOCS) & (many / len(toxic) >= ODDS * (against + 1) / len(ordinary))]
+        for w, mark, (begin, end) in zip(words, marks, spans, strict=True):
+            at = np.flatnonzero(np.isin(Windows(w.low).all(size), chosen))
+            k = np.searchsorted(begin, at + 1, "right") - 1
+            inside = (k >= 0) & (at + 1 >= begin[k]) & (at + size <= end[k] + 1)  # within the window and the spaces at its sides
+            np.add.at(mark, at[inside], 1)
+            np.add.at(mark, at[inside] + size, -1)
     out = []
-    for text in toxic:
-        data, offsets = _joined([" " + text + " "])
-        words = Words(data, offsets, "alnum")
-        at = np.flatnonzero(np.isin(Windows(words.low).all(GRAM), chosen))
-        begin, end = split_windows(words)
-        k = np.searchsorted(begin, at + 1, "right") - 1
-        inside = (k >= 0) & (at + 1 >= begin[k]) & (at + GRAM <= end[k] + 1)  # within the window and the spaces at its sides
-        out += {b" " + words.low[begin[j]:end[j]].tobytes() + b" " for j in np.unique(k[inside]).tolist()}
+    for w, mark, (begin, end) in zip(words, marks, spans, strict=True):
+        places = np.flatnonzero(np.cumsum(mark)[:-1] > 0)
+        first, last = np.searchsorted(places, begin - 1), np.searchsorted(places, end + 1) - 1
+        for k in np.flatnonzero(last >= first).tolist():
+            low, high = int(places[first[k]]), int(places[last[k]]) + 1
+            out.append(b"".join((b" " if low < begin[k] else b"", w.low[max(low, begin[k]):min(high, end[k])].tobytes(), b" " if high > end[k] else b"")))
     return out
 
 
@@ -170,30 +190,34 @@ def ordinary_dictionary(samples: list[bytes]) -> bytes:
         return b"".join(samples)[-ORDINARY_BYTES:]
 
 
-def toxic_dictionary(windows: list[bytes]) -> bytes:
-    """Whole telling windows, the commonest at the end, as the general trainer would cut them up between sequences."""
-    content = b"".join(w for w, _ in reversed(Counter(windows).most_common(TOXIC_BYTES // 4)))
+def toxic_dictionary(telling: list[bytes]) -> bytes:
+    """Whole telling pieces, the commonest at the end, as the general trainer would cut them up between sequences."""
+    content = b"".join(w for w, _ in reversed(Counter(telling).most_common()))
     return content[-TOXIC_BYTES:]
 
 
-def _prune(telling: list[bytes], ordinary_content: bytes, toxic: list[str], ordinary: list[str], size: int = 5) -> list[bytes]:
-    """Without the windows that shorten ordinary words: their sequences stand in hits of ordinary documents too often."""
+def _hits_by_sequence(distance: Distance, texts: list[str], size: int) -> Counter[bytes]:
+    """For each short sequence the hits of windows that hold it, per text."""
+    held: Counter[bytes] = Counter()
+    for _, _, data, offsets in pieces(*_joined(texts)):
+        words = Words(data, offsets, "alnum")
+        begin, end = split_windows(words)
+        _, some, times = np.unique(Windows(words.low).of(begin, end), return_index=True, return_counts=True)
+        for k in np.flatnonzero(distance.gaps(words.low, begin[some], end[some]) >= MARGIN).tolist():
+            window = b" " + words.low[begin[some[k]]:end[some[k]]].tobytes() + b" "
+            share = float(times[k]) / len(texts)
+            for gram in {window[i:i + size] for i in range(len(window) - size + 1)}:
+                held[gram] += share
+    return held
+
+
+def _prune(telling: list[bytes], ordinary_content: bytes, toxic: list[str], ordinary: list[str]) -> list[bytes]:
+    """Without the pieces that shorten ordinary windows: one of their sequences hits ordinary documents too often."""
+    size = min(GRAMS)
     distance = Distance(ordinary_content, toxic_dictionary(telling))
-
-    def shares(texts: list[str]) -> dict[bytes, float]:
-        """For each short sequence the share of texts with a hit window that holds it."""
-        held: Counter[bytes] = Counter()
-        for text in texts:
-            words = Words(*_joined([text]), "alnum")
-            begin, end = split_windows(words)
-            hit = np.flatnonzero(distance.gaps(words.low, begin, end) >= MARGIN)
-            found = {b" " + words.low[begin[k]:end[k]].tobytes() + b" " for k in hit.tolist()}
-            held.update({w[i:i + size] for w in found for i in range(len(w) - size + 1)})
-        return {g: n / len(texts) for g, n in held.items()}
-
-    bad, good = shares(ordinary), shares(toxic)
-    most = lambda table, w: max((table.get(w[i:i + size], 0.0) for i in range(len(w) - size + 1)), default=0.0)
-    keep = {w for w in set(telling) if most(bad, w) <= 0.2 * most(good, w)}
+    bad, good = _hits_by_sequence(distance, ordinary, size), _hits_by_sequence(distance, toxic, size)
+    spared = lambda w: all(bad[w[i:i + size]] <= SPARE * good[w[i:i + size]] for i in range(len(w) - size + 1))
+    keep = {w for w in set(telling) if spared(w)}
     return [w for w in telling if w in keep]
 
 
@@ -208,11 +232,11 @@ def fit(rows: list[tuple[str, int]]) -> ToxicityModel | None:
     samples = []
     for text in ordinary:
         words = text.lower().encode().split()
-        samples += [b" " + b" ".join(words[i:i + 8]) + b" " for i in range(0, min(len(words), 400), 8)]
-    telling = _telling_windows(toxic, ordinary)
+        samples += [b" " + b" ".join(words[i:i + 8]) + b" " for i in range(0, len(words), 8)]
+    telling = _telling_pieces(toxic, ordinary)
     base = ordinary_dictionary(samples)
-    for _ in range(2):
-        telling = telling and _prune(telling, base, toxic[:800], ordinary[:800])
+    for _ in range(PRUNINGS):
+        telling = telling and _prune(telling, base, toxic, ordinary)
     if not telling:
         return None
     model = ToxicityModel(base, toxic_dictionary(telling), (0.0, 0.0), 1.0, 0.0)

@@ -64,3 +64,46 @@ def test_long_words_are_split():
     data, offsets = toxicity._joined(["a" * 100 + " b", ""])
     begin, end = toxicity.split_windows(toxicity.Words(data, offsets, "space"))
     assert list(zip(begin.tolist(), end.tolist(), strict=True)) == [(0, 48), (48, 96), (96, 100), (101, 102)]
+
+
+def test_rarer_languages_are_learned_too():
+    """One toxic stem per language, on endings that are ordinary; the rarest has some forty toxic rows to learn from."""
+    rng = random.Random(8)
+    rows, where = [], []
+    tongues = [("abcdef", "idiot", 6), ("ghijkl", "réeux", 2), ("mnopqr", "bomente", 1)]
+    for lang, (letters, stem, weight) in enumerate(tongues):
+        bits = ["".join(rng.choices(letters, k=rng.randint(2, 4))) for _ in range(12)]
+        for i in range(220 * weight):
+            words = ["".join(rng.choices(bits, k=rng.randint(1, 3))) for _ in range(rng.choice([40, 150]))]
+            if bad := i % 4 == 0:
+                for k in range(0, len(words), 12):
+                    words[k] = stem + rng.choice(bits)
+            rows.append((" ".join(words), int(bad)))
+            where.append(lang)
+    order = list(range(len(rows)))
+    rng.shuffle(order)
+    learn, held = order[: len(order) * 2 // 3], order[len(order) * 2 // 3:]
+    model = toxicity.fit([rows[k] for k in learn])
+    hits, windows = toxicity.count_hits(toxicity.Distance(model.ordinary, model.toxic), *toxicity._joined([rows[k][0] for k in held]))
+    said = model.scores(hits, windows) >= toxicity.THRESHOLD
+    for lang in range(3):
+        mine = [n for n, k in enumerate(held) if where[k] == lang]
+        bad, good = ([n for n in mine if rows[held[n]][1] == y] for y in (1, 0))
+        assert said[bad].mean() >= 0.9 and said[good].mean() <= 0.05
+
+
+def test_gaps_are_compressed_one_by_one():
+    import numpy as np
+    import zstandard
+    ordinary, toxic = b"some ordinary words of text " * 20, b" wretched  vermin "
+    words = ["wretched", "vermin", "ordinary", "x", "unwretchedly"]
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    got = toxicity.Distance(ordinary, toxic).gaps(data, ends - [len(w) for w in words], ends)
+
+    def length(content, word):
+        held = zstandard.ZstdCompressionDict(content + toxicity.LEAD_IN, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        side = zstandard.ZstdCompressor(level=toxicity.LEVEL, dict_data=held, write_checksum=False, write_content_size=False, write_dict_id=False)
+        return len(side.compress(toxicity.LEAD_IN + b" " + word.encode() + b" " + toxicity.TAIL))
+
+    assert got.tolist() == [length(ordinary, w) - length(ordinary + toxic, w) for w in words] and got[0] >= 3 and got[2] <= 0
