@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 EVENT_TIME = (
     r"^(\d{4}-\d{2}-\d{2}T\d{1,2}:\d{2}:\d{2})(?:[.,]\d+)?(?:Z|([+-])(\d{2}):(\d{2}))?\z"
 )
+# The usual form, all digits, of which Spark's own cast is as strict.
+USUAL_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z\z"
 INTEGER = r"^[+-]?\d+\z"
 
 
@@ -16,8 +18,13 @@ def strict_seconds(text: Column) -> Column:
     """Unix seconds, or NULL where the text is not a full date and time.
 
     The fraction is dropped, which floors, also before 1970. The zone offset is applied
-    by arithmetic because it may reach further than Spark's own zones.
+    by arithmetic because it may reach further than Spark's own zones. Texts of the usual form take one
+    match and one cast; only others go through the parts.
     """
+    return F.when(text.rlike(USUAL_TIME), F.unix_seconds(text.try_cast("timestamp"))).otherwise(_from_parts(text))
+
+
+def _from_parts(text: Column) -> Column:
     local = F.unix_seconds(
         F.concat(F.regexp_extract(text, EVENT_TIME, 1), F.lit("Z")).try_cast("timestamp")
     )

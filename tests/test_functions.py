@@ -35,6 +35,21 @@ def test_payload_has_its_fields():
     assert "hashUID" in schemas.PAYLOAD_TEXT_FIELDS
 
 
+def test_the_usual_form_reads_as_its_parts_do(spark):
+    import random
+
+    from streambed.functions.times import _from_parts
+    rng = random.Random(9)
+    texts = ["+024-01-01T00:00:00Z", "2024-01-01T+1:00:00Z", "2024-01-01T 1:00:00Z", "\uff12024-01-01T00:00:00Z", "0000-01-01T00:00:00Z", "9999-12-31T23:59:59Z"]
+    for _ in range(3000):
+        text = list("2024-02-28T23:59:59Z")
+        for _ in range(rng.choice([1, 1, 2, 5])):
+            text[rng.randrange(20)] = rng.choice("0123456789+-:. TZz\u0661")
+        texts.append("".join(text))
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", strict_seconds(F.col("t")).alias("a"), _from_parts(F.col("t")).alias("b")).collect()
+    assert [r.t for r in rows if r.a != r.b] == [] and sum(r.a is not None for r in rows) > 500
+
+
 def test_event_times(spark):
     rows = spark.createDataFrame(TIMES, "text string, strict long, lenient long")
     found = rows.select(
