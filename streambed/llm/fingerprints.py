@@ -18,6 +18,8 @@ extra columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -95,14 +97,16 @@ def likeness(left: Column, right: Column, bins: int = BINS, bits: int = BITS) ->
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), (same / F.lit(float(bins)) - chance) / (1 - chance)))
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str], derive: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """Add ``next_<column>`` of the next row in ascending doc_id, after the last row those of the first.
 
-    The driver holds one boundary per range of ``RANGE_ROWS`` rows.
+    ``derive`` adds columns, for each row and for the few that stand at the end of a range a second time, once
+    those are found. The driver holds one boundary per range of ``RANGE_ROWS`` rows.
     """
     spark = docs.sparkSession
     count = docs.count()
     if not count:
+        docs = derive(docs)
         return docs.select("*", *[F.col(c).alias(f"next_{c}") for c in columns])
     ranges = min(MOST_RANGES, -(-count // RANGE_ROWS))
     cuts = docs.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], 0.2 / ranges) if ranges > 1 else []
@@ -117,15 +121,15 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     copies = (docs.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("head_id"))).withColumn("nth", F.row_number().over(ranked)).where("nth = 1")
               .select(*docs.columns, F.col("head_range").alias("range"), F.lit(True).alias("is_copy")))
     ordered = Window.partitionBy("range").orderBy("is_copy", F.col("doc_id").asc_nulls_first(), "text")
-    both = placed.unionByName(copies)
+    both = derive(placed).unionByName(derive(copies))
     return both.select("*", *[F.lead(c).over(ordered).alias(f"next_{c}") for c in columns]).where(~F.col("is_copy")).drop("range", "is_copy")
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """The contract's row per document, with the edited text's fingerprint and both likenesses."""
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("text")).withColumn("fingerprint", fingerprint(F.col("text")))
-    rows = with_next(rows, ["text", "fingerprint"])
+    rows = docs.select("doc_id", text.alias("text"))
+    rows = with_next(rows, ["text", "fingerprint"], lambda some: some.withColumn("fingerprint", fingerprint(F.col("text"))))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
