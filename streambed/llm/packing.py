@@ -35,7 +35,11 @@ SEQUENCE = 1024
 END_ID = 0
 SENTENCE_PRICE = 2
 TRUNCATION_PRICE = 24
-GRID = 32
+#: Inside a sentence every so manieth token is a possible cut. On 10 million tokens of the test data the total of padding and
+#: prices is 8 % above that with every token (1: 140109, 8: 150893, 32: 189127), padding 0.66 % (0.47, 1.29), at a sixth of the time.
+GRID = 8
+#: Marks that end a sentence; one that the vocabulary splits into several tokens is not seen.
+SENTENCE_MARKS = tuple(mark.encode() for mark in ".!?\n\u2026\u3002\uff01\uff1f\u061f\u06d4\u0964")
 BLOCK_TOKENS = 1 << 20
 #: The public splitting rule of the vocabulary, a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -51,7 +55,7 @@ def load_tokenizer(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     ends = np.zeros(max(*ranks.values(), *SPECIAL.values()) + 1, bool)
     for token, number in ranks.items():
-        ends[number] = token[-1:] in (b".", b"!", b"?", b"\n")
+        ends[number] = token.endswith(SENTENCE_MARKS)
     return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL), ends
 
 
