@@ -40,6 +40,8 @@ SAMPLE_ROWS = 2500
 SAMPLE_BYTES = 64 << 10
 WINDOW_BYTES = 48
 ORDINARY_BYTES = 24 << 10
+#: Text that zstandard's trainer gets; of more, every so manieth run of eight words over the whole of each text.
+TRAINER_BYTES = 4 << 20
 #: Room for telling pieces; the commonest stay where there are more.
 TOXIC_BYTES = 32 << 10
 #: Lengths of the byte sequences compared in training.
@@ -146,34 +148,38 @@ def drop_copies(texts: list[str], share: float = 0.3) -> list[str]:
     return kept
 
 
+def _spaced_words(text: str) -> Words:
+    return Words(*_joined([" " + text + " "]), "alnum")
+
+
+def _telling_sequences(toxic: list[str], ordinary: list[str], size: int) -> np.ndarray:
+    """Hashes of the sequences of ``size`` bytes that toxic documents use far oftener; one text is looked at at a time."""
+    grams, many = np.unique(np.concatenate([np.unique(Windows(_spaced_words(t).low).all(size)) for t in toxic]), return_counts=True)
+    grams, many = grams[many >= LEAST_DOCS], many[many >= LEAST_DOCS]
+    against = np.zeros(len(grams) + 1, np.int64)  # the last one counts what is no candidate
+    for text in ordinary:
+        found = np.unique(Windows(_spaced_words(text).low).all(size))
+        place = np.searchsorted(grams, found)
+        known = place < len(grams)
+        known[known] = grams[place[known]] == found[known]
+        against[place[known]] += 1
+    return grams[many / len(toxic) >= ODDS * (against[:-1] + 1) / len(ordinary)]
+
+
 def _telling_pieces(toxic: list[str], ordinary: list[str]) -> list[bytes]:
     """Of each window of toxic texts the stretch of byte sequences that toxic documents use far oftener."""
-    spaced = [_joined([" " + text + " "]) for text in toxic]
-    words = [Words(data, offsets, "alnum") for data, offsets in spaced]
-
-    def frequencies(lows: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
-        return np.unique(np.concatenate([np.unique(Windows(low).all(size)) for low in lows]), return_counts=True)
-
-    others = [Words(*_joined([" " + text + " "]), "alnum").low for text in ordinary]
-    marks = [np.zeros(len(w.low) + 1, np.int32) for w in words]
-    spans = [split_windows(w) for w in words]
-    for size in GRAMS:
-        grams, many = frequencies([w.low for w in words], size)
-        known, few = frequencies(others, size)
-        if not len(known):
-            against = np.zeros(len(grams))
-        else:
-            place = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-            against = np.where(known[place] == grams, few[place], 0)
-        chosen = grams[(many >= LEAST_DOCS) & (many / len(toxic) >= ODDS * (against + 1) / len(ordinary))]
-        for w, mark, (begin, end) in zip(words, marks, spans, strict=True):
-            at = np.flatnonzero(np.isin(Windows(w.low).all(size), chosen))
+    chosen = {size: _telling_sequences(toxic, ordinary, size) for size in GRAMS}
+    out = []
+    for text in toxic:
+        w = _spaced_words(text)
+        begin, end = split_windows(w)
+        mark = np.zeros(len(w.low) + 1, np.int32)
+        for size, grams in chosen.items():
+            at = np.flatnonzero(np.isin(Windows(w.low).all(size), grams))
             k = np.searchsorted(begin, at + 1, "right") - 1
             inside = (k >= 0) & (at + 1 >= begin[k]) & (at + size <= end[k] + 1)  # within the window and the spaces at its sides
             np.add.at(mark, at[inside], 1)
             np.add.at(mark, at[inside] + size, -1)
-    out = []
-    for w, mark, (begin, end) in zip(words, marks, spans, strict=True):
         places = np.flatnonzero(np.cumsum(mark)[:-1] > 0)
         first, last = np.searchsorted(places, begin - 1), np.searchsorted(places, end + 1) - 1
         for k in np.flatnonzero(last >= first).tolist():
@@ -229,10 +235,11 @@ def fit(rows: list[tuple[str, int]]) -> ToxicityModel | None:
     toxic, ordinary = drop_copies([t for t, y in learn if y]), drop_copies([t for t, y in learn if not y])
     if not toxic or not ordinary or not any(y for _, y in held) or all(y for _, y in held):
         return None
+    stride = -(-sum(map(len, ordinary)) // TRAINER_BYTES) or 1
     samples = []
     for text in ordinary:
         words = text.lower().encode().split()
-        samples += [b" " + b" ".join(words[i:i + 8]) + b" " for i in range(0, len(words), 8)]
+        samples += [b" " + b" ".join(words[i:i + 8]) + b" " for i in range(0, len(words), 8 * stride)]
     telling = _telling_pieces(toxic, ordinary)
     base = ordinary_dictionary(samples)
     for _ in range(PRUNINGS):
@@ -240,7 +247,9 @@ def fit(rows: list[tuple[str, int]]) -> ToxicityModel | None:
     if not telling:
         return None
     model = ToxicityModel(base, toxic_dictionary(telling), (0.0, 0.0), 1.0, 0.0)
-    hits, windows = count_hits(Distance(model.ordinary, model.toxic), *_joined([t for t, _ in held]))
+    distance = Distance(model.ordinary, model.toxic)
+    parts = [count_hits(distance, data, offsets) for _, _, data, offsets in pieces(*_joined([t for t, _ in held]))]
+    hits, windows = (np.concatenate(x) for x in zip(*parts, strict=True))
     labels = np.array([y for _, y in held], bool)
     low = (hits[~labels].sum() + 0.5) / (windows[~labels].sum() + 1)
     shown = labels & (hits > 0)
