@@ -66,9 +66,6 @@ ENVELOPE_FIELDS = list(fields(ENVELOPE_DDL))
 PAYLOAD_TEXT_FIELDS = [n for n, t in fields(PAYLOAD_DDL).items() if t == "string"]
 PAYLOAD_NUMBER_FIELDS = [n for n, t in fields(PAYLOAD_DDL).items() if t == "double"]
 
-# A message as any source delivers it; partition and offset give its arrival order.
-MESSAGES = "value string, topic string, partition int, offset long"
-
 EVENTS = (
     "event_id string, reference_id string, timestamp long, category string, "
     "event_type string, payload string"
@@ -77,17 +74,4 @@ EVENTS = (
 SEGMENTS = (
     "bucket string, key string, timestamp long, writer string, segment string, size long"
 )
-MANIFEST = (
-    "key string, instance_id string, segment_id string, event_count long, batch_id long, "
-    "flush_ts long, size_bytes long"
-)
-INDEX_ENTRIES = (
-    "shard int, reference_id string, ts long, event_id string, bucket string, key string, "
-    "start_byte long, end_byte long, row_key string, locator string"
-)
-SEGMENT_RESULTS = (
-    "bucket string, key string, indexed long, malformed long, skipped long, error string"
-)
 CURSORS = "bucket string, last_key string"
-COUNTER_SAMPLES = "ts timestamp, instance string, name string, value long"
-STAGE_TIMINGS = "ts timestamp, instance string, stage string, seconds double"

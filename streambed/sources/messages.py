@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 STARTING_OFFSETS = "earliest"
 # Partitions that arrival numbers tell apart.
 MOST_PARTITIONS = 1 << 20
+# What one micro-batch takes unless told otherwise, so that the first one is not the whole topic.
+MAX_OFFSETS = 1_000_000
+MAX_FILES = 1_000
 # A file stream skips files this much older than the newest one; far beyond any file's age.
 MAX_FILE_AGE = "36500d"
 
@@ -21,14 +24,16 @@ def read_messages(
     """Messages as ``value, topic, partition, offset``.
 
     ``options["format"]`` is ``kafka`` (default; other entries go to the connector) or
-    ``text`` (one message per line below ``options["path"]``). The rate is capped by
-    ``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger``, as the source understands them.
+    ``text`` (one message per line below ``options["path"]``). A stream's batches are capped by
+    ``maxOffsetsPerTrigger`` (``MAX_OFFSETS``) or ``maxFilesPerTrigger`` (``MAX_FILES``).
     """
     settings = dict(options)
     source = settings.pop("format", "kafka")
     reader = (spark.readStream if stream else spark.read).format(source)
     if source == "kafka":
         settings.setdefault("startingOffsets", STARTING_OFFSETS)
+        if stream:
+            settings.setdefault("maxOffsetsPerTrigger", str(MAX_OFFSETS))
         raw = reader.options(**settings).load()
         return raw.select(F.col("value").cast("string"), "topic", "partition", "offset")
     if source != "text":
@@ -37,6 +42,7 @@ def read_messages(
     topic = settings.pop("topic", "files")
     if stream:
         settings.setdefault("maxFileAge", MAX_FILE_AGE)
+        settings.setdefault("maxFilesPerTrigger", str(MAX_FILES))
     raw = reader.options(lineSep="\n", **settings).load(path)
     # Files keep the order of lines within a read split; splits stand in for partitions.
     place = F.monotonically_increasing_id()

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streambed.plans.ingest import IngestConf
+from streambed.sources import messages
 from streambed.sources.segments import read_segment_lines
 from streambed.streaming.dedup import dedup_stream, drained, opened, state_ids
 from streambed.streaming.jobs import run_ingest
@@ -99,6 +100,16 @@ def test_arrival_clock_keeps_late_rows(spark, tmp_path):
     assert [name for name, _ in got] == ["a", "b", "z", "late", "late2"]
 
 
+def test_a_first_batch_is_not_the_whole_topic(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(messages, "MAX_FILES", 2)
+    for n in range(5):
+        (tmp_path / f"in{n}.txt").write_text(f"m{n}\n")
+    stream = messages.read_messages(spark, {"format": "text", "path": f"{tmp_path}/*.txt"}, stream=True)
+    query = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [2, 2, 1]
+
+
 def test_ingest_restart_repeats_nothing(spark, tmp_path):
     source, root = tmp_path / "in", str(tmp_path / "out")
     source.mkdir()
