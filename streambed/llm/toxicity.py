@@ -7,8 +7,8 @@ hit. Hits against the number of windows give the log-likelihood of toxic against
 so that the best cut of held-back training rows is at 0.7, makes it a score.
 
 What is telling is measured on the whole sample, whatever the languages in it: sequences of ``GRAMS`` bytes that at least
-``LEAST_DOCS`` toxic documents hold, ``ODDS`` times oftener than ordinary ones. Pieces that shorten ordinary
-windows too often (``SPARE``) are taken out again.
+``LEAST_DOCS`` and a share of ``LEAST_SHARE`` of the toxic documents hold, ``ODDS`` times oftener than ordinary ones. Pieces that
+shorten ordinary windows too often (``SPARE``) are taken out again.
 
 Training sees a bounded sample of labelled rows (``SAMPLE_ROWS`` of each class, by hash order, texts of at most
 ``SAMPLE_BYTES``) and all of those texts; scoring reads every whole text where it is scanned, without a shuffle. A window is a run of
@@ -46,9 +46,10 @@ TRAINER_BYTES = 4 << 20
 TOXIC_BYTES = 32 << 10
 #: Lengths of the byte sequences compared in training.
 GRAMS = (6, 8, 10)
-#: Toxic documents that must hold a sequence, and how much oftener than ordinary ones.
+#: Toxic documents that must hold a sequence, at least and as a share, and how much oftener than ordinary ones.
 LEAST_DOCS = 5
-ODDS = 5.0
+LEAST_SHARE = 0.01
+ODDS = 8.0
 #: Hits in ordinary documents that a piece's sequences may have for one in toxic documents.
 SPARE = 0.3
 #: Rounds of taking out pieces that hit ordinary windows.
@@ -155,7 +156,8 @@ def _spaced_words(text: str) -> Words:
 def _telling_sequences(toxic: list[str], ordinary: list[str], size: int) -> np.ndarray:
     """Hashes of the sequences of ``size`` bytes that toxic documents use far oftener; one text is looked at at a time."""
     grams, many = np.unique(np.concatenate([np.unique(Windows(_spaced_words(t).low).all(size)) for t in toxic]), return_counts=True)
-    grams, many = grams[many >= LEAST_DOCS], many[many >= LEAST_DOCS]
+    enough = many >= max(LEAST_DOCS, LEAST_SHARE * len(toxic))
+    grams, many = grams[enough], many[enough]
     against = np.zeros(len(grams) + 1, np.int64)  # the last one counts what is no candidate
     for text in ordinary:
         found = np.unique(Windows(_spaced_words(text).low).all(size))
@@ -227,8 +229,12 @@ def _prune(telling: list[bytes], ordinary_content: bytes, toxic: list[str], ordi
     return [w for w in telling if w in keep]
 
 
-def fit(rows: list[tuple[str, int]]) -> ToxicityModel | None:
-    """Train on (text, label) rows, of which every third only sets the rates and the cut."""
+def fit(rows: list[tuple[str, int]], ordinary_per_toxic: float | None = None) -> ToxicityModel | None:
+    """Train on (text, label) rows, of which every third only sets the rates and the cut.
+
+    ``ordinary_per_toxic`` is how many ordinary rows there are for a toxic one where the sample comes from; the cut is
+    laid for that mixture.
+    """
     rows = list(dict.fromkeys((t or "", int(y)) for t, y in rows))
     learn = [r for i, r in enumerate(rows) if i % 3] or rows
     held = [r for i, r in enumerate(rows) if i % 3 == 0] or rows
@@ -257,9 +263,10 @@ def fit(rows: list[tuple[str, int]]) -> ToxicityModel | None:
     model.rates = (float(low), float(min(high, 0.5)))
     x = model.evidence(hits, windows)
     order = np.argsort(-x, kind="stable")
-    right = np.cumsum(labels[order])
+    right, wrong = np.cumsum(labels[order]), np.cumsum(~labels[order])
+    weight = 1.0 if ordinary_per_toxic is None else ordinary_per_toxic * labels.sum() / (~labels).sum()
     last = np.append(x[order][1:] != x[order][:-1], True)
-    f1 = np.where(last, 2 * right / (np.arange(1, len(x) + 1) + labels.sum()), -1)
+    f1 = np.where(last, 2 * right / (right + weight * wrong + labels.sum()), -1)
     k = int(np.argmax(f1))
     below = x[x < x[order][k]]
     model.cut = float((x[order][k] + below.max()) / 2) if len(below) else float(x[order][k])
@@ -311,7 +318,11 @@ def held_out(modulus: int, rest: int) -> Column:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel | None:
     """Train on the rows whose crc32(doc_id) mod 3 is not 1."""
-    return fit(learning_rows(docs, labels, "toxic", ~held_out(3, 1)))
+    learn = ~held_out(3, 1)
+    known = labels.where(learn).where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("label"))
+    counts = known.agg(F.count_if(F.col("label") == 0).alias("ordinary"), F.count_if(F.col("label") == 1).alias("toxic")).first()
+    mixture = counts.ordinary / counts.toxic if counts.toxic else None
+    return fit(learning_rows(docs, labels, "toxic", learn), mixture)
 
 
 def toxicity_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
