@@ -19,8 +19,12 @@ def _exclusive(window):
 
 
 def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on plain equality, so that windows and aggregates on the keys need no new shuffle."""
-    return left.join(right, list(keys), how)
+    """Join on plain equality by sorted sides, so that windows and aggregates on the keys need no new shuffle.
+
+    Both sides may grow with the input. Spark takes a compressed file's size for that of rows derived from it, which are
+    many times larger, and would send them through the driver as a broadcast.
+    """
+    return left.join(right.hint("merge"), list(keys), how)
 
 
 def without_nulls(rows: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import locator, parse_segment_key, row_key
 from ..session import cut
-from .blocked import match, running_totals
+from .blocked import running_totals
 from .decode import parse_index_fields
 from .routing import assign_shards
 
@@ -95,7 +95,7 @@ def segment_results(parsed: DataFrame, max_line_bytes: int | None = None, listin
 def drop_failed(parsed: DataFrame, results: DataFrame) -> DataFrame:
     """Lines of segments without an error."""
     failed = results.where(F.col("error").isNotNull()).select("bucket", "key")
-    return match(parsed, failed, ["bucket", "key"], "left_anti")
+    return parsed.join(failed, ["bucket", "key"], "left_anti")
 
 
 def cycle_totals(results: DataFrame) -> DataFrame:
@@ -138,7 +138,7 @@ def advance_cursors(results: DataFrame) -> DataFrame:
         .agg(F.min("__at").alias("__stop"))
     )
     return (
-        match(placed.where(F.col("error").isNull()), first_failed, ["bucket"], "left")
+        placed.where(F.col("error").isNull()).join(first_failed, ["bucket"], "left")
         .where(F.col("__stop").isNull() | (F.col("__at") < F.col("__stop")))
         .groupBy("bucket")
         .agg(F.max_by("key", "__at").alias("last_key"))
@@ -147,11 +147,11 @@ def advance_cursors(results: DataFrame) -> DataFrame:
 
 def after_cursors(segments: DataFrame, cursors: DataFrame) -> DataFrame:
     """Segments whose key sorts after their bucket's cursor; no cursor means all."""
-    joined = match(segments, cursors.select("bucket", "last_key"), ["bucket"], "left")
+    joined = segments.join(cursors.select("bucket", "last_key"), ["bucket"], "left")
     return joined.where(F.col("key") > F.coalesce("last_key", F.lit(""))).drop("last_key")
 
 
 def merge_cursors(old: DataFrame, new: DataFrame) -> DataFrame:
     """New positions replace old ones; buckets without a new one keep theirs."""
-    kept = match(old, new, ["bucket"], "left_anti")
+    kept = old.join(new, ["bucket"], "left_anti")
     return kept.select("bucket", "last_key").unionByName(new.select("bucket", "last_key"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.blocked import match
 from ..schemas import EVENTS, fields
 
 # Fixed value: the number in a staged file's name.
@@ -46,7 +45,7 @@ def reload_staged(spark: SparkSession, glob: str) -> DataFrame:
         (~F.col("__sound") | F.col("__bytes").isNull()).alias("__broken"),
     )
     broken = events.where("__broken").select("staged_file").distinct()
-    clean = match(events, broken, ["staged_file"], "left_anti").drop("__broken")
+    clean = events.join(broken, ["staged_file"], "left_anti").drop("__broken")
     return clean.select(
         "event_id", "reference_id", "timestamp", "category", "event_type", "payload",
         "staged_file", "staged_no",
