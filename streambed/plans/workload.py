@@ -13,7 +13,7 @@ from ..functions.times import lenient_seconds, strict_seconds
 from ..operators import accounting, decode, dedup, indexing, packing, routing
 from ..operators import quantiles as quantile_ops
 from .. import storage
-from ..session import prepare, shared_dir
+from ..session import cut, prepare, shared_dir
 from ..sinks import index as index_sink
 from ..sinks import metrics
 from ..sinks.segments import label_by_task, write_rejects, write_segments
@@ -725,20 +725,30 @@ def stream_dedup(spark, sf_dir):
     return _dedup_stream(spark, sf_dir, "keep_late")
 
 
+def _in_turn(spark, batches: list[DataFrame], make: Callable[[DataFrame], DataFrame], drain_last: bool = True) -> tuple[DataFrame, str]:
+    """What a stream makes of some batches, each a micro-batch of the files that its tasks wrote; and the checkpoint.
+
+    The stream stops after each batch and goes on from its checkpoint, so a batch has any number of files. Only the
+    last run, unless it is drained too, asks for another batch without data, as the watermark moves.
+    """
+    source, out, checkpoint = (shared_dir(spark, x) for x in ("batches", "made", "checkpoint"))
+    for k, batch in enumerate(batches):
+        batch.write.mode("append").parquet(source)
+        made = make(spark.readStream.schema(batch.schema).parquet(source))
+        writer = made.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        with drained(spark, drain_last or k + 1 < len(batches)):
+            writer.start().awaitTermination()
+    return spark.read.schema(made.schema).parquet(out), checkpoint
+
+
 def _dedup_batches(spark, sf_dir) -> tuple[DataFrame, str]:
     """``stream_dedup`` in five micro-batches by arrival: what was kept, and the checkpoint."""
-    source, out, checkpoint = (shared_dir(spark, x) for x in ("pairs", "kept", "checkpoint"))
     pairs = _pairs(spark, sf_dir).withColumn("arrival", F.col("event_id")).persist()
     last = pairs.agg(F.max("arrival")).head()[0] or 0
-    for k in range(5):  # files are read in the order they were written
-        pairs.where((F.col("arrival") * 5 >= k * (last + 1)) & (F.col("arrival") * 5 < (k + 1) * (last + 1))).coalesce(1).write.mode("append").parquet(source)
+    batches = [pairs.where((F.col("arrival") * 5 >= k * (last + 1)) & (F.col("arrival") * 5 < (k + 1) * (last + 1))) for k in range(5)]
+    kept = _in_turn(spark, batches, lambda rows: dedup_stream(rows, ["user_id", "event_type"], "timestamp", HOUR))
     pairs.unpersist()
-    rows = spark.readStream.schema(pairs.schema).option("maxFilesPerTrigger", "1").parquet(source)
-    kept = dedup_stream(rows, ["user_id", "event_type"], "timestamp", HOUR)
-    writer = kept.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    with drained(spark):
-        writer.start().awaitTermination()
-    return spark.read.schema(kept.schema).parquet(out), checkpoint
+    return kept
 
 
 @query
@@ -767,8 +777,8 @@ def stream_dedup_event_clock(spark, sf_dir):
     )
 
 
-def _late_files(spark, sf_dir) -> DataFrame:
-    """Accepted events as a stream of four files, one per week of the table's span, some of them late.
+def _late_batches(spark, sf_dir) -> list[DataFrame]:
+    """Accepted events in four batches, one per week of the table's span, some of them late.
 
     Every fifth event of the last half day of a week comes with the next week; every 17th event of the first week comes with the last.
     """
@@ -779,30 +789,19 @@ def _late_files(spark, sf_dir) -> DataFrame:
     slow = (no % 5 == 0) & (at % week >= week - HALF_DAY) & (at < (QUARTERS - 1) * week)
     lost = (no % 17 == 0) & (at < week)
     batch = F.when(lost, QUARTERS - 1).when(slow, F.floor(at / week) + 1).otherwise(F.floor(at / week))
-    source = shared_dir(spark, "late")
-    placed = events.withColumn("batch", batch).persist()
-    for k in range(QUARTERS):  # files are read in the order they were written
-        placed.where(F.col("batch") == k).drop("batch").coalesce(1).write.mode("append").parquet(source)
-    placed.unpersist()
-    return spark.readStream.schema("event_id string, timestamp long, payload string").option("maxFilesPerTrigger", "1").parquet(source)
+    placed = cut(events.withColumn("batch", batch), "late")
+    return [placed.where(F.col("batch") == k).drop("batch") for k in range(QUARTERS)]
 
 
 HALF_DAY = 43_200
 
 
-def _drained_table(spark, rows: DataFrame) -> DataFrame:
-    out = shared_dir(spark, "windows")
-    rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", shared_dir(spark, "checkpoint")).trigger(
-        availableNow=True).start().awaitTermination()
-    return spark.read.schema(rows.schema).parquet(out)
-
-
 @query
 def stream_events_per_second(spark, sf_dir):
     """Seconds a day behind the last event; rows half a day late count, rows weeks late do not."""
-    return _drained_table(spark, events_per_second_stream(_late_files(spark, sf_dir), lateness_s=2 * HALF_DAY))
+    return _in_turn(spark, _late_batches(spark, sf_dir), lambda rows: events_per_second_stream(rows, lateness_s=2 * HALF_DAY), drain_last=False)[0]
 
 
 @query
 def stream_flush_intervals(spark, sf_dir):
-    return _drained_table(spark, interval_sizes_stream(_late_files(spark, sf_dir), lateness_s=2 * HALF_DAY))
+    return _in_turn(spark, _late_batches(spark, sf_dir), lambda rows: interval_sizes_stream(rows, lateness_s=2 * HALF_DAY), drain_last=False)[0]

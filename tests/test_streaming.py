@@ -1,5 +1,6 @@
 import os
 import time
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -132,3 +133,15 @@ def test_ingest_restart_repeats_nothing(spark, tmp_path):
     assert read_segment_lines(spark, {"b": root}).count() == 51
     assert spark.read.parquet(f"{root}/rejects").count() == 2
     assert spark.read.parquet(f"{root}/manifest").agg(F.sum("event_count")).head()[0] == 51
+
+
+def test_a_batch_of_a_stream_is_written_by_all_its_tasks(spark, tmp_path):
+    """Batches keep their number of files, and each is one micro-batch."""
+    from streambed.plans import workload
+
+    rows = spark.range(1000).selectExpr("id % 5 n", "id at")
+    batches = [rows.where(F.col("n") == n).repartition(3) for n in range(4)]
+    kept, checkpoint = workload._in_turn(spark, batches, lambda made: made.withColumn("file", F.col("_metadata.file_path")))
+    found = kept.groupBy("n").agg(F.count("*").alias("rows"), F.count_distinct("file").alias("files"))
+    assert sorted(map(tuple, found.collect())) == [(n, 200, 3) for n in range(4)]
+    assert len(list(Path(checkpoint.removeprefix("file:"), "commits").glob("[0-9]"))) == 4
