@@ -23,6 +23,15 @@ def parse_segment_key(key: Column) -> Column:
     )
 
 
+#: Keys that are well formed beyond doubt: their number fits 64 bits.
+_USUAL_KEY = r"^[^/]*/[+-]?\d{1,18}/[^/]*/"
+
+
+def is_segment_key(key: Column) -> Column:
+    """Whether ``parse_segment_key`` can read a key; one match where it is asked of every line."""
+    return F.when(key.rlike(_USUAL_KEY), F.lit(True)).otherwise(parse_segment_key(key).isNotNull())
+
+
 def row_key(reference_id: Column, seconds: Column, event_id: Column) -> Column:
     return F.concat(
         F.lit("ref:"), reference_id, F.lit(":time:"), seconds.cast("string"),

@@ -37,7 +37,7 @@ def _from_parts(text: Column) -> Column:
     return F.when(text.rlike(EVENT_TIME), local - offset)
 
 
-def lenient_seconds(text: Column) -> Column:
-    """As :func:`strict_seconds`, then an integer, then 0."""
+def lenient_seconds(text: Column, strict: Column | None = None) -> Column:
+    """As :func:`strict_seconds`, which may be given if it is known, then an integer, then 0."""
     number = F.when(text.rlike(INTEGER), text.try_cast("bigint"))
-    return F.coalesce(strict_seconds(text), number, F.lit(0).cast("bigint"))
+    return F.coalesce(strict_seconds(text) if strict is None else strict, number, F.lit(0).cast("bigint"))

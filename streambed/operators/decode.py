@@ -134,7 +134,7 @@ def parse_index_fields(
     ``reference_id`` is filled from there; ``strict_reference=True`` reads only the
     top-level field. A time that cannot be read is 0 and flagged.
     """
-    line = F.regexp_replace(line_col, r"\r\z", "")
+    line = F.when(F.endswith(F.col(line_col), F.lit("\r")), F.regexp_replace(line_col, r"\r\z", "")).otherwise(F.col(line_col))
     fields = "_event_id variant, reference_id variant, _event_timestamp variant"
     names = ["_event_id", "reference_id", "_event_timestamp"]
     if not strict_reference:
@@ -154,7 +154,7 @@ def parse_index_fields(
         _text(f"{doc}._event_id").alias("event_id"),
         reference.alias("reference_id"),
         _text(f"{doc}._event_timestamp").alias("__time"),
-    )
+    ).withColumn("__strict", strict_seconds(F.col("__time")))
     status = (
         F.when(~F.col("__ok"), "malformed")
         .when((F.col("event_id") == "") | (F.col("reference_id") == ""), "skipped")
@@ -162,8 +162,8 @@ def parse_index_fields(
     )
     return extracted.select(
         *kept, "event_id", "reference_id",
-        lenient_seconds(F.col("__time")).alias("ts"),
-        (strict_seconds(F.col("__time")).isNull() & ~F.col("__time").rlike(r"^[+-]?\d+\z"))
+        lenient_seconds(F.col("__time"), F.col("__strict")).alias("ts"),
+        (F.col("__strict").isNull() & ~F.col("__time").rlike(r"^[+-]?\d+\z"))
         .alias("time_unreadable"),
         status.alias("status"),
     )

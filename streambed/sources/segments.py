@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from py4j.protocol import Py4JJavaError
 
 from .. import storage
-from ..functions.keys import parse_segment_key
+from ..functions.keys import is_segment_key, parse_segment_key
 from ..operators.indexing import sort_segments
 from ..schemas import SEGMENTS
 from .listing import SEGMENT_PREFIX, SegmentListing, listing_options, reachable
@@ -30,8 +30,9 @@ def key_of(path: Column, root: str) -> Column:
 
 
 def file_path() -> Column:
-    """Path of the file a row was read from; Spark gives it URL-encoded."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    """Path of the file a row was read from; Spark gives it URL-encoded, which few paths need."""
+    path = F.col("_metadata.file_path")
+    return F.when(F.contains(path, F.lit("%")), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
 
 
 def _folder(root: str, prefix: str) -> str:
@@ -125,7 +126,7 @@ def read_segment_lines(
         newer = text.where(key > F.lit(cursors.get(bucket, "")))
         if upto is not None:
             newer = newer.where(key <= F.lit(upto.get(bucket, "")))
-        newer = newer.where(parse_segment_key(key).isNotNull())
+        newer = newer.where(is_segment_key(key))
         return placed_lines(newer, F.lit(bucket), key)
 
     tables, _ = _each_bucket(buckets, read)
