@@ -18,7 +18,7 @@ from ..operators.indexing import (
     segment_results,
     with_byte_ranges,
 )
-from ..session import cut
+from ..session import cut, small_files
 from ..sinks.commits import CommitLog, State
 from ..sinks.index import BASELINE_BUCKETS, COMPACTION_THRESHOLD, compact, compaction_due, new_folder, pending_deltas, write_delta
 from ..sources.segments import list_segments, manifest_listing, read_segment_lines
@@ -87,11 +87,12 @@ def _bounds(listing: DataFrame) -> tuple[dict[str, str], dict[str, str]]:
 def index_listed(spark: SparkSession, conf: IndexConf, listing: DataFrame, cursors: dict[str, str]) -> tuple[dict, DataFrame]:
     """``index_segments`` for listed segments. A segment that cannot be read gets an error, the others are indexed."""
     first, last = _bounds(listing)
-    # From the first listed key's folder on; what the cursor has passed stays out.
-    lines = read_segment_lines(
-        spark, {b: r for b, r in conf.buckets.items() if b in first}, {b: max(cursors.get(b, ""), _just_before(k)) for b, k in first.items()},
-        upto=last, tolerant=True)
-    return index_segments(spark, conf, lines, listing)
+    with small_files(spark):
+        # From the first listed key's folder on; what the cursor has passed stays out.
+        lines = read_segment_lines(
+            spark, {b: r for b, r in conf.buckets.items() if b in first}, {b: max(cursors.get(b, ""), _just_before(k)) for b, k in first.items()},
+            upto=last, tolerant=True)
+        return index_segments(spark, conf, lines, listing)
 
 
 def _just_before(key: str) -> str:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,13 @@ TUNING = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# While many small files are listed and read: tasks list a share of the folders each, and read as many files as fill them. Else
+# there is a task per folder and one per few files, and the driver keeps an account of every task.
+SMALL_FILES = {
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
+    "spark.sql.files.openCostInBytes": "65536",
+}
+
 
 def local_session(cores: str | int = "*", memory: str = "8g", app: str = "streambed") -> SparkSession:
     """A session for tests and the benchmark."""
@@ -41,6 +50,21 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def small_files(spark: SparkSession) -> Iterator[None]:
+    """Plan and run reads inside for many small files; a session that already asks for less keeps its own values."""
+    before = {key: spark.conf.get(key) for key in SMALL_FILES}
+    for key, value in SMALL_FILES.items():
+        now = before[key]
+        if not now.isdigit() or int(now) > int(value):
+            spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from .. import storage
 from ..functions.keys import parse_segment_key
 from ..operators.packing import MAX_BYTES, MAX_ROWS
+from ..session import small_files
 from ..sources.segments import file_path, key_of
 
 _MANIFEST = (
@@ -122,18 +123,19 @@ def write_segments(
         lines = lines.repartition("segment").sortWithinPartitions("segment", *order).select("segment", "value")
     lines.write.mode("append").partitionBy("segment").text(f"{root}/{folder}", lineSep="\n")
     path = _of_batch(root, "manifest", instance, batch_id)
-    written = spark.read.option("recursiveFileLookup", "true").text(f"{root}/{folder}", lineSep="\n")
-    key = key_of(file_path(), root)
-    found = written.where(F.contains(key, F.lit(f"/segment={mine}"))).groupBy(key.alias("key"), F.col("_metadata.file_size").alias("size_bytes"))
-    found.agg(F.count("*").alias("event_count")).select(
-        "key",
-        F.lit(instance).alias("instance_id"),
-        parse_segment_key(F.col("key"))["segment"].alias("segment_id"),
-        "event_count",
-        F.lit(batch_id).cast("long").alias("batch_id"),
-        F.lit(stamp).cast("long").alias("flush_ts"),
-        "size_bytes",
-    ).write.mode("overwrite").parquet(path)
+    with small_files(spark):
+        written = spark.read.option("recursiveFileLookup", "true").text(f"{root}/{folder}", lineSep="\n")
+        key = key_of(file_path(), root)
+        found = written.where(F.contains(key, F.lit(f"/segment={mine}"))).groupBy(key.alias("key"), F.col("_metadata.file_size").alias("size_bytes"))
+        found.agg(F.count("*").alias("event_count")).select(
+            "key",
+            F.lit(instance).alias("instance_id"),
+            parse_segment_key(F.col("key"))["segment"].alias("segment_id"),
+            "event_count",
+            F.lit(batch_id).cast("long").alias("batch_id"),
+            F.lit(stamp).cast("long").alias("flush_ts"),
+            "size_bytes",
+        ).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

@@ -2,9 +2,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from streambed import schemas
-from streambed.functions.keys import parse_segment_key
+from streambed.functions.keys import is_segment_key, parse_segment_key
 from streambed.functions.sharding import hash_hex, shard_of
 from streambed.functions.times import lenient_seconds, strict_seconds
+from streambed.session import small_files
+from streambed.sources.segments import file_path
 
 TIMES = [
     ("2024-01-01T00:00:00Z", 1704067200, 1704067200),
@@ -99,3 +101,29 @@ def test_more_shards_move_keys_only_to_new_shards(spark):
     moved = rows.select(shard_of(F.col("r"), 10).alias("a"), shard_of(F.col("r"), 11).alias("b")).where("a <> b")
     assert moved.where("b <> 10").count() == 0
     assert 0 < moved.count() < 5000 / 5
+
+
+def test_a_key_is_told_well_formed_as_it_is_parsed(spark):
+    keys = [
+        "events/1/w/s.ndjson", "events/1/w/", "events/1/w", "events/x/w/s", "a/b/1/w/s", "events/-7/w/s", "events/+7//s/x", "/1//",
+        "events/99999999999999999999/w/s", "events/00000000000000000000001/w/s", "events/1 /w/s", "", None, "e\nv/1/w\n/s", "events/1\n/w/s",
+    ]
+    rows = spark.createDataFrame([(k,) for k in keys], "key string")
+    told = rows.select("key", is_segment_key(F.col("key")).alias("told"), parse_segment_key(F.col("key")).isNotNull().alias("parsed")).collect()
+    assert [bool(r.told) for r in told] == [r.parsed for r in told]
+
+
+def test_the_path_of_a_file_is_decoded(spark, tmp_path):
+    for name in ("plain", "a+b", "a b%41+é"):
+        spark.range(1).write.parquet(str(tmp_path / name))
+        found = spark.read.parquet(str(tmp_path / name)).select(file_path()).head()[0]
+        assert f"{tmp_path}/{name}/part-" in found
+
+
+def test_small_files_hold_inside_only(spark):
+    key = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key)
+    with pytest.raises(ValueError), small_files(spark):
+        assert spark.conf.get(key) == "65536"
+        raise ValueError
+    assert spark.conf.get(key) == before
