@@ -17,7 +17,7 @@ from ..operators.dedup import DEFAULT_WINDOW_S, kept_keys
 from ..operators.packing import MAX_BYTES, MAX_ROWS
 from ..session import cut
 from ..sinks import metrics
-from ..sinks.segments import committed, label_by_task, write_rejects, write_segments
+from ..sinks.segments import committed, label_by_task, label_whole, write_rejects, write_segments
 
 
 @dataclass
@@ -33,18 +33,21 @@ class IngestConf:
     strict: bool = True
     max_rows: int = MAX_ROWS
     max_bytes: int = MAX_BYTES
-    # Tasks that write a flush; unset, as many as the batch has.
+    # Tasks that cut a flush into segments; unset, as many as the batch has. With one, a streamed flush inside both limits is one
+    # segment and needs no cutting: all tasks write files of it.
     write_tasks: int | None = None
     # What writes labelled events as segments and returns their manifest.
     writer: Callable[[DataFrame, int, str, str], DataFrame] = write_segments
 
 
 def write_batch(
-    spark: SparkSession, conf: IngestConf, batch_id: int, events: DataFrame, rejects: DataFrame, counts: Counter[str]
+    spark: SparkSession, conf: IngestConf, batch_id: int, events: DataFrame, rejects: DataFrame, counts: Counter[str],
+    size: int | None = None,
 ) -> Counter[str]:
     """Write a batch's rejects and segments and record counts and times; a failure is recorded and raised.
 
-    The manifest comes last and says that the batch is complete; a batch that has one stays as it is.
+    The manifest comes last and says that the batch is complete; a batch that has one stays as it is. ``size``, if known, is the
+    bytes of the events' lines. An upload is a segment, however many files it has.
     """
     began = time.monotonic()
     upload = 0.0
@@ -54,15 +57,20 @@ def write_batch(
             if counts["rejected"]:
                 write_rejects(rejects, conf.root, conf.instance, batch_id)
             if counts["flushed"]:
-                if conf.write_tasks:
-                    events = events.coalesce(conf.write_tasks)
+                fits = size is not None and size <= conf.max_bytes and counts["flushed"] <= conf.max_rows
+                if conf.write_tasks == 1 and fits:
+                    labelled = label_whole(events, size)
+                else:
+                    if conf.write_tasks:
+                        events = events.coalesce(conf.write_tasks)
+                    labelled = label_by_task(events, conf.max_rows, conf.max_bytes)
                 began_upload = time.monotonic()
-                stored = conf.writer(label_by_task(events, conf.max_rows, conf.max_bytes), batch_id, conf.root, conf.instance)
+                stored = conf.writer(labelled, batch_id, conf.root, conf.instance)
                 upload = time.monotonic() - began_upload
     except Exception:
         metrics.record(spark, conf.root, conf.instance, batch_id, f"failure-{uuid.uuid4().hex}", {metrics.FAILURES: 1})
         raise
-    uploads = 0 if stored is None else stored.count()
+    uploads = 0 if stored is None else stored.select("segment_id").distinct().count()
     spent = time.monotonic() - began
     kept = counts["flushed"]
     told = {metrics.CONSUMED: kept, metrics.FLUSHED: kept, metrics.UPLOADS: uploads, metrics.REJECTED: counts["rejected"], metrics.FAILURES: 0}
@@ -83,10 +91,11 @@ def flush_batch(decoded: DataFrame, conf: IngestConf, batch_id: int) -> Counter[
     held = decoded.sortWithinPartitions(*order).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = F.col("reason").isNull()
-        totals = held.agg(F.count(F.when(good, 1)).alias("flushed"), F.count(F.when(~good, 1)).alias("rejected")).head()
+        taken = F.sum(F.when(good, F.octet_length("payload") + 1))
+        totals = held.agg(F.count(F.when(good, 1)).alias("flushed"), F.count(F.when(~good, 1)).alias("rejected"), taken.alias("size")).head()
         counts = Counter(flushed=totals.flushed, rejected=totals.rejected)
         events, rejects = split_rejects(held)
-        return write_batch(held.sparkSession, conf, batch_id, events, rejects, counts)
+        return write_batch(held.sparkSession, conf, batch_id, events, rejects, counts, totals["size"])
     finally:
         held.unpersist()
 

@@ -411,12 +411,14 @@ QUARTERS = 4
 def _recorded_ingest(spark, sf_dir) -> str:
     """An ingest job in four micro-batches that left its record below the returned root.
 
-    Every tenth message comes again in the next batch, and every second batch's first flush fails.
+    Every tenth message comes again in the next batch, and every second batch's first flush fails. All tasks write files of a
+    batch; the job drains one batch's files, then finds those of the next.
     """
     root, source = shared_dir(spark, "ingest"), shared_dir(spark, "messages")
     sent = inputs.messages(spark, sf_dir).select("value", "offset", (F.col("offset") % QUARTERS).alias("quarter"))
     again = sent.where(F.col("offset") % 10 == 0).withColumn("quarter", (F.col("quarter") + 1) % QUARTERS)
-    sent.unionByName(again).repartition("quarter").select("value", "quarter").write.partitionBy("quarter").text(source)
+    waiting = f"{source}/_waiting"  # hidden from the job
+    sent.unionByName(again).select("value", "quarter").write.partitionBy("quarter").text(waiting)
     failed = set()
 
     def flaky(events, batch_id, *where):
@@ -426,9 +428,12 @@ def _recorded_ingest(spark, sf_dir) -> str:
         return write_segments(events, batch_id, *where)
 
     conf = IngestConf(
-        root=root, source={"format": "text", "path": source, "maxFilesPerTrigger": "1"}, checkpoint=shared_dir(spark, "checkpoint"),
+        root=root, source={"format": "text", "path": source, "maxFilesPerTrigger": str((1 << 31) - 1)}, checkpoint=shared_dir(spark, "checkpoint"),
         dedup_window_s=86_400, max_rows=1 << 30, max_bytes=1 << 60, write_tasks=1, writer=flaky)
-    drain_ingest(spark, conf)
+    for name, _ in storage.children(spark, waiting):
+        if name.startswith("quarter="):
+            storage.move(spark, f"{waiting}/{name}", f"{source}/{name}")
+            drain_ingest(spark, conf)
     return root
 
 

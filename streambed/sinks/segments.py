@@ -24,6 +24,9 @@ from ..operators.packing import MAX_BYTES, MAX_ROWS
 from ..session import small_files
 from ..sources.segments import file_path, key_of
 
+# Bytes that one file of a segment gets when several tasks write it.
+FILE_BYTES = 64 * 1024 * 1024
+
 _MANIFEST = (
     "key string, instance_id string, segment_id string, event_count long, batch_id long, "
     "flush_ts long, size_bytes long"
@@ -92,6 +95,14 @@ def label_by_task(
     return events.mapInArrow(cut, T.StructType([*events.schema.fields, T.StructField("segment", T.StringType())]))
 
 
+def label_whole(events: DataFrame, size: int, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Add the ``segment`` label of events that are one segment of ``size`` bytes, with no shuffle.
+
+    Tasks are merged until each writes about ``file_bytes`` of it, a file each; so a small segment has one file.
+    """
+    return events.coalesce(max(1, -(-size // file_bytes))).withColumn("segment", F.lit(f"{0:06d}-{0:06d}"))
+
+
 def write_segments(
     events: DataFrame,
     batch_id: int,

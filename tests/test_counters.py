@@ -106,3 +106,47 @@ def test_sketches_are_near_and_bounded(spark):
     made = sketched_quantiles(rows, ["step"], "v", (0.0, 0.5, 0.99, 1.0), ["all"], {"all": F.lit(1)}).collect()
     assert all(r.n == 200_000 and abs(r["quantile"] / 200_000 - r.prob) <= rank_error() for r in made) and len(made) == 4
     assert sketched_quantiles(rows.limit(0), ["step"], "v", (0.5,), ["step"]).count() == 0
+
+
+def test_a_flush_that_is_one_segment_is_written_by_all_its_tasks(spark, tmp_path):
+    """One upload of several files; with a limit passed, one task cuts as before."""
+    from streambed.plans.ingest import flush_batch
+    from streambed.sinks import segments
+
+    rows = spark.range(400).repartition(4).selectExpr(
+        "id arrival", "concat('e', id) event_id", "'r' reference_id", "1L timestamp", "'' category", "'' event_type",
+        "rpad(concat(id, ''), 99, 'x') payload", "if(id % 40 = 0, 'bad', null) reason")
+    for at, (file_bytes, max_rows, files, uploads) in enumerate([(13_000, 390, 3, 1), (1 << 20, 390, 1, 1), (13_000, 389, 2, 2)]):
+        root, found = str(tmp_path / str(at)), []
+
+        def writer(events, *where):
+            found.append(events.rdd.getNumPartitions())
+            return write_segments(events, *where)
+
+        conf = IngestConf(root=root, max_rows=max_rows, write_tasks=1, writer=writer)
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(segments.label_whole, "__defaults__", (file_bytes,))
+            flush_batch(rows, conf, 0)
+        manifest = spark.read.parquet(f"{root}/manifest")
+        counted = manifest.agg(F.sum("event_count").alias("n"), F.count("*").alias("files"), F.count_distinct("segment_id").alias("segments")).head()
+        assert tuple(counted) == (390, files, uploads) and found == [files if uploads == 1 else 1]
+        assert totals(spark, root)["uploads"] == uploads
+        stored = spark.read.option("recursiveFileLookup", "true").text(f"{root}/events")
+        assert stored.distinct().count() == stored.count() == 390
+
+
+def test_a_batch_of_the_recorded_job_is_sent_by_all_tasks(spark, tmp_path, monkeypatch):
+    """Four batches of one upload each, whatever the number of files that they came in."""
+    from streambed.plans import workload
+
+    spark.range(1, 2001, 1, 3).selectExpr(
+        "id event_id", "timestamp_seconds(1704067200 + id) ts", "id % 7 user_id", "'click' event_type", "1.0D value", "'{}' props"
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(workload, "shared_dir", lambda _, purpose: str(tmp_path / purpose))
+    root = workload._recorded_ingest(spark, str(tmp_path))
+    assert all(len(list((tmp_path / "messages" / f"quarter={n}").glob("part-*"))) > 1 for n in range(4))
+    good = [n for n in range(1, 2001) if n % 50 not in (0, 1, 2, 3, 5, 6)]
+    again, lost = len([n for n in good if n % 10 == 0]), len([n for n in range(1, 2001) if n not in good])
+    assert totals(spark, root) == {
+        "consumed": len(good), "duplicates": again, "flushed": len(good), "uploads": 4, "failed_flushes": 2,
+        "rejected": lost + len([n for n in range(10, 2001, 10) if n not in good])}
