@@ -586,8 +586,8 @@ def histogram_quantile(spark, sf_dir):
 
 
 def _report_parts(spark, sf_dir):
-    """Buffered: the last gauges; rate: the last full second."""
-    events = _events(spark, sf_dir)
+    """Buffered: the last gauges; rate: the last full second. Events are decoded once, into a written table of ids and times."""
+    events = cut(_events(spark, sf_dir).select("event_id", "timestamp"), "accepted")
     last = events.agg(F.max("timestamp").alias("t"))
     rate = events.where(F.col("timestamp") == last.scalar()).agg(F.count("*").alias("events_per_sec"))
     return events, monitor.buffered(inputs.counter_samples(spark, sf_dir), "w0"), rate

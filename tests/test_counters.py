@@ -150,3 +150,16 @@ def test_a_batch_of_the_recorded_job_is_sent_by_all_tasks(spark, tmp_path, monke
     assert totals(spark, root) == {
         "consumed": len(good), "duplicates": again, "flushed": len(good), "uploads": 4, "failed_flushes": 2,
         "rejected": lost + len([n for n in range(10, 2001, 10) if n not in good])}
+
+
+def test_the_parts_of_a_report_decode_the_messages_once(spark, tmp_path, monkeypatch):
+    """Rate and live ids read a written table of ids and times, not the messages again."""
+    from streambed.plans import workload
+
+    spark.range(1, 101, 1, 3).selectExpr(
+        "id event_id", "timestamp_seconds(1704067200 + id div 3) ts", "id % 7 user_id", "'click' event_type", "1.0D value", "'{}' props"
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(workload, "shared_dir", lambda _, purpose: str(tmp_path / purpose))
+    events, _, rate = workload._report_parts(spark, str(tmp_path))
+    assert not any("from_json" in x._jdf.queryExecution().optimizedPlan().toString() for x in (events, rate))
+    assert events.columns == ["event_id", "timestamp"] and rate.head()[0] == 1  # 99; 100 of the same second is cut off
