@@ -56,14 +56,13 @@ def running_totals(
         *[F.sum(f"__s_{n}").over(Window.partitionBy(*lane)).alias(new) for new, n in grand.items()],
     )
     inside = _exclusive(Window.partitionBy(*keys).orderBy(*order))
-    placed = match(valued, offsets, keys)
+    # Sums first: their sort serves the join as well, so a task sorts its rows once.
+    summed = valued.select(
+        *rows.columns, *[F.coalesce(F.sum(f"__v_{n}").over(inside), F.lit(0)).alias(f"__i_{n}") for n in totals]
+    )
+    placed = match(summed, offsets, keys)
     return placed.select(
-        *rows.columns,
-        *[
-            (F.col(f"__o_{n}") + F.coalesce(F.sum(f"__v_{n}").over(inside), F.lit(0))).alias(n)
-            for n in totals
-        ],
-        *grand,
+        *rows.columns, *[(F.col(f"__o_{n}") + F.col(f"__i_{n}")).alias(n) for n in totals], *grand
     )
 
 

@@ -110,3 +110,18 @@ def test_running_totals_send_nothing_through_the_driver(spark, tmp_path):
     found = running_totals(rows, ["lane"], "block", ["at"], {"before": F.lit(1)})
     assert found.where("before <> at div 3").count() == 0
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_running_totals_sort_the_rows_once(spark):
+    """The order inside blocks serves the join with the blocks' offsets too."""
+    rows = spark.range(1000).selectExpr("id % 3 lane", "id div 100 block", "id at", "id % 5 v")
+    placed = running_totals(rows, ["lane"], "block", ["at"], {"before": F.col("v")}, {"all": "before"})
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert len([x for x in plan.splitlines() if "Sort [" in x and "at#" in x.split("]")[0]]) == 1
+    assert len([x for x in plan.splitlines() if "Sort [lane#" in x]) == 3  # rows; offsets along the lane and to be joined
+    got = {r["at"]: (r.before, r["all"]) for r in placed.collect()}
+    for lane in range(3):
+        so_far, whole = 0, sum(n % 5 for n in range(lane, 1000, 3))
+        for n in range(lane, 1000, 3):
+            assert got[n] == (so_far, whole)
+            so_far += n % 5
